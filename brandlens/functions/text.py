@@ -40,9 +40,12 @@ def tokens(c: Column) -> Column:
     return F.filter(F.split(c, rf"(?U){SPACE}+"), lambda t: t != "")
 
 
-def clean_name(c: Column) -> Column:
-    """Lower-case word tokens without legal forms, each kept once in first-seen order."""
-    letters = F.regexp_replace(basic_text(c), "[^a-zа-яё0-9 ]", " ")
+def clean_name(c: Column, yo: bool = True) -> Column:
+    """Lower-case word tokens without legal forms, each kept once in first-seen order.
+
+    Without ``yo`` the letter ё separates words, as an older rule had it.
+    """
+    letters = F.regexp_replace(basic_text(c), "[^a-zа-яё0-9 ]" if yo else "[^a-zа-я0-9 ]", " ")
     kept = F.filter(F.split(letters, " +"), lambda t: (t != "") & ~t.isin(LEGAL_FORMS))
     return F.array_join(F.array_distinct(kept), " ")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def literal_rows(spark: SparkSession, names: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
@@ -24,6 +24,15 @@ def unpivot_row(df: DataFrame, metrics: Sequence[str], constants: dict[str, str]
     ])))
 
 
+def measure(df: DataFrame, aggregates: dict[tuple[str, str], Column]) -> DataFrame:
+    """(section, metric, value) of many aggregates, all computed in one pass."""
+    names = {key: f"m{i}" for i, key in enumerate(aggregates)}
+    counts = df.agg(*[c.cast("double").alias(names[key]) for key, c in aggregates.items()])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), F.col(name).alias("value"))
+        for (section, metric), name in names.items()])))
+
+
 def passes(value, operator, limit):
     """Inclusive limit check by operator text; null value fails."""
     return F.coalesce(

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brandlens.contract import MAX_FOUNDED_YEAR, MIN_FOUNDED_YEAR
+from brandlens.contract import MAX_FOUNDED_YEAR, MIN_FOUNDED_YEAR, UNKNOWN_PRICE_LABEL
 from brandlens.functions import labels, numbers, text
 from brandlens.operators import quantiles as Q
+from brandlens.operators.literal import measure
 
 QUARTILES = ([0.25, 0.5, 0.75], ["p25", "median", "p75"])
 MEDIAN = ([0.5], ["median"])
@@ -73,6 +74,14 @@ def label_distribution(df: DataFrame, column: str = "price_category") -> DataFra
     return with_rate(counts, df.agg(n_rows()).scalar()).orderBy(F.desc("count"), "label")
 
 
+def label_distribution_raw_values(df: DataFrame, column: str = "price_category") -> DataFrame:
+    """Older rule: the raw text is split at semicolons only and null counts as unknown."""
+    parts = F.transform(F.split(F.coalesce(F.col(column), F.lit(UNKNOWN_PRICE_LABEL)), ";"), text.strip)
+    counts = (df.select(F.explode(F.filter(parts, lambda p: p != "")).alias("label"))
+              .groupBy("label").agg(n_rows().alias("count")))
+    return with_rate(counts, df.agg(n_rows()).scalar()).orderBy(F.desc("count"), "label")
+
+
 def decade_distribution(df: DataFrame, year: Column) -> DataFrame:
     """Rows per decade and their share of the rows with a year."""
     counts = (df.select(numbers.decade(year).alias("decade")).filter("decade is not null")
@@ -290,9 +299,10 @@ def preview(df: DataFrame, key: str, columns: Sequence[str], n: int) -> DataFram
 
 # --- anomalies -------------------------------------------------------------
 
-def anomaly_report(df: DataFrame, last_year: int = MAX_FOUNDED_YEAR, price: bool = True) -> DataFrame:
-    """(metric, value): out-of-range, missing and negative values; absent columns are skipped."""
-    have = set(df.columns)
+def anomaly_aggregates(columns: Sequence[str], last_year: int = MAX_FOUNDED_YEAR,
+                       price: bool = True) -> dict[tuple[str, str], Column]:
+    """Counts of out-of-range, missing and negative values; absent columns are skipped."""
+    have = set(columns)
     found: dict[str, Column] = {}
     if "founded" in have:
         year = numbers.to_number(F.col("founded"))
@@ -310,5 +320,9 @@ def anomaly_report(df: DataFrame, last_year: int = MAX_FOUNDED_YEAR, price: bool
         found["description_empty"] = F.count_if(text.is_blank(F.col("description")))
     if price and "price_category" in have:
         found["price_category_unknown_only"] = F.count_if(F.size(labels.known_labels(F.col("price_category"))) == 0)
-    return df.agg(*[c.cast("double").alias(name) for name, c in found.items()]).select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in found])))
+    return {("anomaly", name): c for name, c in found.items()}
+
+
+def anomaly_report(df: DataFrame, last_year: int = MAX_FOUNDED_YEAR, price: bool = True) -> DataFrame:
+    """(metric, value) of all anomaly counts in one pass."""
+    return measure(df, anomaly_aggregates(df.columns, last_year, price)).select("metric", "value")

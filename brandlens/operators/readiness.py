@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brandlens.contract import (
     CANONICAL_COLUMNS, KNOWN_PRICE_LABELS, MAX_FOUNDED_YEAR, MIN_CLASS_ROWS, MIN_FOUNDED_YEAR,
     REQUIRED_COLUMNS, UNKNOWN_DOMAIN, UNKNOWN_PRICE_LABEL,
 )
 from brandlens.functions import labels
-from brandlens.operators.literal import literal_rows, passes, unpivot_row
+from brandlens.functions.text import strip
+from brandlens.operators.literal import literal_rows, measure, passes
 from brandlens.operators.prepare import known_domain_rows, unexpected_label_counts
-from brandlens.operators.profile import anomaly_report
+from brandlens.operators.profile import anomaly_aggregates
 
 # Rule, severity, section, metric, operator, limit.
 GATE_RULES = [
@@ -32,75 +36,105 @@ GATE_RULES = [
 ]
 
 
-def training_readiness(prepared: DataFrame) -> DataFrame:
-    """(section, metric, value) under the same row rules as training.
+def readiness_aggregates(columns: Sequence[str]) -> dict[tuple[str, str], Column]:
+    """What one pass over the prepared rows tells about the three tasks.
 
     After preparation domain and price_category are never null, so their non-null counts are
-    all rows. Unexpected labels are listed by ``unexpected_label_counts``.
+    all rows.
     """
-    have = set(prepared.columns)
-    parts = [unpivot_row(prepared.agg(F.count(F.lit(1)).alias("rows_total")), ["rows_total"], {"section": "dataset"})]
-    if "domain" in have:
-        parts += _domain_part(prepared)
-    if "founded" in have:
+    out: dict[tuple[str, str], Column] = {("dataset", "rows_total"): F.count(F.lit(1))}
+    if "domain" in columns:
+        out["domain_task", "rows_non_null_target"] = F.count("domain")
+    if "founded" in columns:
         year = F.col("founded")
-        counts = prepared.agg(
-            F.count(year).alias("rows_non_null_target"),
-            F.count_if(year.between(MIN_FOUNDED_YEAR, MAX_FOUNDED_YEAR)).alias("rows_in_valid_range_1850_2025"))
-        parts.append(unpivot_row(counts, counts.columns, {"section": "founded_task"}))
-    if "price_category" in have:
-        parts += _price_part(prepared)
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
-
-
-def _domain_part(prepared: DataFrame) -> list[DataFrame]:
-    section = {"section": "domain_task"}
-    sizes = known_domain_rows(prepared).groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
+        out["founded_task", "rows_non_null_target"] = F.count(year)
+        out["founded_task", "rows_in_valid_range_1850_2025"] = F.count_if(
+            year.between(MIN_FOUNDED_YEAR, MAX_FOUNDED_YEAR))
+    if "price_category" in columns:
+        task = "price_category_task"
+        known = labels.known_labels(F.col("price_category"))
+        supports = {label: F.count_if(F.array_contains(known, label)) for label in KNOWN_PRICE_LABELS}
+        out[task, "rows_non_null_target"] = F.count("price_category")
+        out[task, "rows_unknown_only"] = F.count_if(F.size(known) == 0)
+        out[task, "rows_after_drop_unknown_only"] = F.count_if(F.size(known) > 0)
+        out[task, "n_known_labels"] = F.lit(len(KNOWN_PRICE_LABELS))
+        out[task, "n_unique_combinations"] = F.countDistinct(F.when(F.size(known) > 0, F.array_join(known, ";")))
+        for label, support in supports.items():
+            out[task, f"known_label_support:{label}"] = support
+        out[task, "min_known_label_support"] = F.least(*supports.values())
+    return out
+
+
+def group_readiness(prepared: DataFrame) -> list[DataFrame]:
+    """The measures that need a grouping first: domain classes and unexpected labels."""
+    parts = []
+    if "domain" in prepared.columns:
+        sizes = known_domain_rows(prepared).groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
+        frequent = F.col("n") >= MIN_CLASS_ROWS
+        parts.append(measure(sizes, {
+            ("domain_task", "rows_after_drop_unknown"): F.coalesce(F.sum("n"), F.lit(0)),
+            ("domain_task", "n_classes_all"): F.count("n"),
+            ("domain_task", "n_classes_ge_5"): F.count_if(frequent),
+            ("domain_task", "rows_after_drop_rare_classes"): F.coalesce(F.sum(F.when(frequent, F.col("n"))), F.lit(0)),
+        }))
+    if "price_category" in prepared.columns:
+        parts.append(measure(unexpected_label_counts(prepared),
+                             {("price_category_task", "n_unexpected_labels"): F.count(F.lit(1))}))
+    return parts
+
+
+def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, others, first)
+
+
+def training_readiness(prepared: DataFrame) -> DataFrame:
+    """(section, metric, value) under the same row rules as training. Unexpected labels are
+    listed by ``unexpected_label_counts``."""
+    return union_all(measure(prepared, readiness_aggregates(prepared.columns)), *group_readiness(prepared))
+
+
+def readiness_raw_values(df: DataFrame) -> DataFrame:
+    """Older rule on raw values: unknown domains count as a class, null prices as unknown."""
+    sizes = (df.filter("domain is not null").groupBy(strip(F.col("domain")).alias("domain"))
+             .agg(F.count(F.lit(1)).alias("n")))
     frequent = F.col("n") >= MIN_CLASS_ROWS
-    classes = sizes.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_after_drop_unknown"),
-        F.count("n").alias("n_classes_all"),
-        F.count_if(frequent).alias("n_classes_ge_5"),
-        F.coalesce(F.sum(F.when(frequent, F.col("n"))), F.lit(0)).alias("rows_after_drop_rare_classes"))
-    filled = prepared.agg(F.count("domain").alias("rows_non_null_target"))
-    return [unpivot_row(filled, filled.columns, section), unpivot_row(classes, classes.columns, section)]
-
-
-def _price_part(prepared: DataFrame) -> list[DataFrame]:
-    section = {"section": "price_category_task"}
-    known = F.col("known")
-    supports = [f"known_label_support:{label}" for label in KNOWN_PRICE_LABELS]
-    counts = prepared.select("price_category", labels.known_labels(F.col("price_category")).alias("known")).agg(
-        F.count("price_category").alias("rows_non_null_target"),
-        F.count_if(F.size(known) == 0).alias("rows_unknown_only"),
-        F.count_if(F.size(known) > 0).alias("rows_after_drop_unknown_only"),
-        F.lit(len(KNOWN_PRICE_LABELS)).alias("n_known_labels"),
-        F.countDistinct(F.when(F.size(known) > 0, F.array_join(known, ";"))).alias("n_unique_combinations"),
-        *[F.count_if(F.array_contains(known, label)).alias(name) for label, name in zip(KNOWN_PRICE_LABELS, supports)],
-    )
-    counts = counts.withColumn("min_known_label_support", F.least(*[F.col(f"`{s}`") for s in supports]))
-    unexpected = unexpected_label_counts(prepared).agg(F.count(F.lit(1)).alias("n_unexpected_labels"))
-    return [unpivot_row(counts, counts.columns, section), unpivot_row(unexpected, unexpected.columns, section)]
+    price = F.coalesce("price_category", F.lit(UNKNOWN_PRICE_LABEL))
+    return union_all(
+        measure(df, {
+            ("dataset", "rows_total"): F.count(F.lit(1)),
+            ("price_category_task", "rows_non_null_target"): F.count_if(price != ""),
+            ("price_category_task", "n_unique_combinations"): F.countDistinct(price),
+        }),
+        measure(sizes, {
+            ("domain_task", "rows_non_null_target"): F.coalesce(F.sum("n"), F.lit(0)),
+            ("domain_task", "n_classes_all"): F.count("n"),
+            ("domain_task", "n_classes_ge_5"): F.count_if(frequent),
+            ("domain_task", "rows_after_drop_rare_classes"): F.coalesce(F.sum(F.when(frequent, F.col("n"))), F.lit(0)),
+        }))
 
 
 def qa_metrics(raw: DataFrame, prepared: DataFrame) -> DataFrame:
-    """(section, metric, value): everything the data gate decides on."""
+    """(section, metric, value): everything the data gate decides on.
+
+    One pass over the prepared rows, one row count of the raw ones, and one grouping each for
+    classes and unexpected labels.
+    """
     columns = prepared.columns
-    counts = prepared.agg(F.count(F.lit(1)).alias("rows_prepared")).withColumns({
-        "rows_raw": F.lit(raw.agg(F.count(F.lit(1))).scalar()),
-        "missing_required_columns": F.lit(len([c for c in REQUIRED_COLUMNS if c not in columns])),
-        "missing_canonical_columns": F.lit(len([c for c in CANONICAL_COLUMNS if c not in columns])),
-        "columns_raw": F.lit(len(raw.columns)),
-        "columns_prepared": F.lit(len(columns)),
-    }).withColumn("rows_gained_or_lost", F.abs(F.col("rows_raw") - F.col("rows_prepared")))
-    dataset = unpivot_row(counts, ["rows_raw", "rows_prepared", "rows_gained_or_lost", "columns_raw",
-                                   "columns_prepared"], {"section": "dataset"})
-    schema = unpivot_row(counts, ["missing_required_columns", "missing_canonical_columns"], {"section": "schema"})
-    anomalies = anomaly_report(prepared).select(F.lit("anomaly").alias("section"), "metric", "value")
-    return dataset.unionByName(schema).unionByName(anomalies).unionByName(training_readiness(prepared))
+    rows_raw = F.lit(raw.agg(F.count(F.lit(1))).scalar())
+    rows = F.count(F.lit(1))
+    fixed = {
+        ("dataset", "columns_raw"): F.lit(len(raw.columns)),
+        ("dataset", "columns_prepared"): F.lit(len(columns)),
+        ("schema", "missing_required_columns"): F.lit(len([c for c in REQUIRED_COLUMNS if c not in columns])),
+        ("schema", "missing_canonical_columns"): F.lit(len([c for c in CANONICAL_COLUMNS if c not in columns])),
+    }
+    counted = {
+        ("dataset", "rows_raw"): rows_raw,
+        ("dataset", "rows_prepared"): rows,
+        ("dataset", "rows_gained_or_lost"): F.abs(rows_raw - rows),
+    }
+    measured = measure(prepared, fixed | counted | anomaly_aggregates(columns) | readiness_aggregates(columns))
+    return union_all(measured, *group_readiness(prepared))
 
 
 def data_gate(metrics: DataFrame) -> DataFrame:
@@ -133,8 +167,9 @@ def qa_summary(raw: DataFrame, prepared: DataFrame) -> DataFrame:
         ("target_contract", "unknown_price_label", UNKNOWN_PRICE_LABEL),
         ("target_contract", "known_price_labels", "; ".join(KNOWN_PRICE_LABELS)),
     ]
-    measured = qa_metrics(raw, prepared).select(
-        "section", F.col("metric").alias("key"), F.format_number("value", "0.######").alias("value"))
+    whole = F.col("value") == F.floor("value")
+    shown = F.when(whole, F.col("value").cast("bigint").cast("string")).otherwise(F.round("value", 6).cast("string"))
+    measured = qa_metrics(raw, prepared).select("section", F.col("metric").alias("key"), shown.alias("value"))
     unexpected = unexpected_label_counts(prepared).select(
         F.lit("unexpected_label").alias("section"), F.col("label").alias("key"),
         F.col("rows").cast("string").alias("value"))

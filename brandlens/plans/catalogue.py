@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from brandlens.plans import tables_and_functions  # noqa: F401
+from brandlens.plans import profiling, tables_and_functions  # noqa: F401
 from brandlens.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
