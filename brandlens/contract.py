@@ -77,6 +77,13 @@ THRESHOLD_GRID = [
     0.7999999999999998,
 ]
 
+# The older, wider grid.
+OLD_THRESHOLD_GRID = [
+    0.1, 0.15000000000000002, 0.20000000000000004, 0.25000000000000006, 0.30000000000000004, 0.3500000000000001,
+    0.40000000000000013, 0.45000000000000007, 0.5000000000000001, 0.5500000000000002, 0.6000000000000002, 0.6500000000000001,
+    0.7000000000000002, 0.7500000000000002, 0.8000000000000002, 0.8500000000000002, 0.9000000000000002,
+]
+
 # --- fixed values: acceptance policy --------------------------------------
 POLICY_VERSION = "model_quality_v1"
 MANIFEST_VERSION = "retail_model_bundle_v1"

@@ -8,7 +8,6 @@ bucket alone and are not shuffled.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -91,16 +90,15 @@ def holdout_sizes(sizes: DataFrame, share: float) -> DataFrame:
     The training rows are allotted in proportion to the strata, the rest to the largest
     remainders. One row per class or label count, so a single window is enough.
     """
-    sizes = staged(sizes)
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    train = total - math.ceil(total * share)
     strata = [c for c in sizes.columns if c != "n"]
-    part = sizes.withColumns({
-        "_base": F.expr(f"(cast(n as decimal(19,0)) * {train}) div {max(total, 1)}"),
-        "_rest": F.expr(f"cast((cast(n as decimal(19,0)) * {train}) % {max(total, 1)} as bigint)"),
+    total = F.lit(sizes.agg(F.sum("n")).scalar())
+    part = sizes.withColumn("_total", total).withColumn(
+        "_train", F.col("_total") - F.ceil(F.col("_total") * F.lit(share))
+    ).withColumns({
+        "_base": F.expr("(cast(n as decimal(19, 0)) * _train) div _total"),
+        "_rest": F.expr("cast((cast(n as decimal(19, 0)) * _train) % _total as bigint)"),
     })
-    part = staged(part)
-    spare = train - (part.agg(F.sum("_base")).first()[0] or 0)
+    spare = F.col("_train") - F.lit(part.agg(F.sum("_base")).scalar())
     order = Window.orderBy(F.desc("_rest"), *strata)
     return (part.withColumn("_extra", (F.row_number().over(order) <= spare).cast("int"))
             .select(*strata, "n", (F.col("n") - F.col("_base") - F.col("_extra")).alias("holdout")))

@@ -55,9 +55,9 @@ def best_thresholds(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                     .otherwise(F.col("best")).alias("threshold"), "f1"))
 
 
-def first_best_thresholds(scores: DataFrame) -> DataFrame:
+def first_best_thresholds(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Older rule: the smallest threshold among the best."""
-    return (scores.groupBy("label_idx", "label")
+    return (scores.groupBy(*keys, "label_idx", "label")
             .agg(F.max_by("threshold", F.struct("f1", -F.col("threshold_raw"))).alias("threshold"),
                  F.max("f1").alias("f1")))
 
@@ -88,14 +88,17 @@ def decide(probabilities: Column, thresholds: Sequence[float]) -> Column:
     return F.when(F.array_contains(flags, 1), flags).otherwise(only_top)
 
 
-def decide_by_table(scored: DataFrame, chosen: DataFrame, n: int = len(KNOWN_PRICE_LABELS)) -> DataFrame:
-    """Apply thresholds held in a table (label_idx, threshold); adds ``p``.
+def decide_by_table(scored: DataFrame, chosen: DataFrame, n: int = len(KNOWN_PRICE_LABELS),
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """Apply thresholds held in a table (keys, label_idx, threshold); adds ``p``.
 
-    The table has one row per label, so its ordered array is one small subquery value.
+    The table has one row per label (and fold). Without keys its ordered array is one subquery
+    value, with keys it is broadcast.
     """
-    ordered = chosen.agg(F.transform(F.array_sort(F.collect_list(F.struct("label_idx", "threshold"))),
-                                     lambda x: x["threshold"]))
-    with_limits = scored.withColumn("_limits", F.lit(ordered.scalar()))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("label_idx", "threshold"))), lambda x: x["threshold"])
+    limits = chosen.groupBy(*keys).agg(ordered.alias("_limits"))
+    with_limits = (scored.join(F.broadcast(limits), list(keys)) if keys
+                   else scored.withColumn("_limits", F.lit(limits.scalar())))
     flags = F.array(*[(F.col("prob")[i] >= F.col("_limits")[i]).cast("int") for i in range(n)])
     top = F.array(*[(argmax(F.col("prob")) == i).cast("int") for i in range(n)])
     return (with_limits.withColumn("p", F.when(F.array_contains(flags, 1), flags).otherwise(top))
