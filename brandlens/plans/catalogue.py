@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from brandlens.plans import evaluation, profiling, runs_and_views, tables_and_functions  # noqa: F401
+from brandlens.plans import evaluation, modelling, profiling, runs_and_views, tables_and_functions  # noqa: F401
 from brandlens.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
