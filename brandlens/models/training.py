@@ -152,31 +152,37 @@ def price_probabilities(df: DataFrame, models: Sequence[Model]) -> DataFrame:
 # --- cross-validation -------------------------------------------------------
 
 def cross_predict(development: DataFrame, candidates: Sequence[dict], keep: Sequence[str], predict: Callable,
-                  folds: int = CV_FOLDS, features: Callable = fit_features) -> DataFrame:
+                  folds: int = CV_FOLDS, features: Callable = fit_features, parallelism: int = 2) -> DataFrame:
     """Out-of-fold predictions of every candidate and grid point.
 
     ``predict(candidate, train, valid)`` yields (grid position, predictions of valid). The result
-    has (seq, grid, fold, row_id, ...) and is read from the shared folder.
+    has (seq, grid, fold, row_id, ...) and is read from the shared folder. ``parallelism`` folds
+    are worked on at a time; their vectors are cached for that long.
     """
-    parts = []
-    for fold in range(folds):
+    def one_fold(fold: int) -> list[DataFrame]:
         train, valid = development.filter(F.col("fold") != fold), development.filter(F.col("fold") == fold)
         fitted = features(train)
         train_v = packed(vectors(fitted, train, keep), train.count()).persist(StorageLevel.MEMORY_AND_DISK)
         valid_v = packed(vectors(fitted, valid, keep), valid.count()).persist(StorageLevel.MEMORY_AND_DISK)
-        for seq, candidate in enumerate(candidates):
-            scored = [df.withColumn("grid", F.lit(i)) for i, df in predict(candidate, train_v, valid_v)]
-            part = union_all(*scored).withColumns({"seq": F.lit(seq), "fold": F.lit(fold)})
-            parts.append(staged(part))
-        train_v.unpersist()
-        valid_v.unpersist()
-    return union_all(*parts)
+        try:
+            parts = []
+            for seq, candidate in enumerate(candidates):
+                scored = [df.withColumn("grid", F.lit(i)) for i, df in predict(candidate, train_v, valid_v)]
+                parts.append(staged(union_all(*scored).withColumns({"seq": F.lit(seq), "fold": F.lit(fold)})))
+            return parts
+        finally:
+            train_v.unpersist()
+            valid_v.unpersist()
+
+    with ThreadPool(parallelism) as pool:
+        return union_all(*[part for parts in pool.map(one_fold, range(folds)) for part in parts])
 
 
 def best_grid_points(scores: DataFrame, score: str, higher: bool = True) -> DataFrame:
     """(seq, grid, cv_best, cv_std): per candidate the best grid point, the first one on ties."""
     means = scores.groupBy("seq", "grid").agg(F.avg(score).alias("cv_best"), F.stddev_pop(score).alias("cv_std"))
-    order = F.struct(F.col("cv_best") if higher else -F.col("cv_best"), -F.col("grid"))
+    mean = F.round("cv_best", quality.TIE_DIGITS)
+    order = F.struct(mean if higher else -mean, -F.col("grid"))
     best = means.groupBy("seq").agg(F.max_by(F.struct("grid", "cv_best", "cv_std"), order).alias("b"))
     return best.select("seq", "b.*")
 
@@ -219,7 +225,7 @@ def train_domain(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FO
         for i, model in enumerate(fit_domain(train, candidate["build"], candidate["grid"], parallelism)):
             yield i, model.transform(valid).select("row_id", F.col("domain").alias("y_true"), decode.alias("y_pred"))
 
-    oof = cross_predict(development, candidates, keep, predict, folds, features)
+    oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     scores = metrics.multiclass_metrics(oof, ["seq", "grid", "fold"])
     base = baselines.fold_scores(baselines.mode_baseline(development, "domain"), "macro_f1")
     board = make_leaderboard(best_grid_points(scores, "macro_f1"), candidates, ("DummyMostFrequent", base), True)
@@ -259,7 +265,7 @@ def train_founded(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_F
             yield i, model.transform(valid).select("row_id", F.col("founded").alias("y_true"),
                                                    F.expm1("prediction").alias("y_pred"))
 
-    oof = cross_predict(development, candidates, keep, predict, folds, features)
+    oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     scores = oof.groupBy("seq", "grid", "fold").agg(F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("mae"))
     base = baselines.fold_scores(baselines.median_baseline(development, "founded"), "mae")
     board = make_leaderboard(best_grid_points(scores, "mae", higher=False), candidates, ("DummyMedian", base), False)
@@ -301,7 +307,7 @@ def train_price(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FOL
         for i, models in enumerate(fit_price(train, candidate["build"], candidate["grid"], parallelism)):
             yield i, price_probabilities(valid, models).select("row_id", "y", "prob")
 
-    oof = cross_predict(development, candidates, keep, predict, folds, features)
+    oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     decided = oof.withColumn("p", thresholds.decide_direct(F.col("prob")))
     scores = metrics.multilabel_metrics(decided, keys=["seq", "grid", "fold"])
     base = baselines.fold_scores(baselines.label_baseline(development), "macro_f1")

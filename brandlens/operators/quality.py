@@ -36,6 +36,8 @@ REQUIRED_REPORT_METRICS = [
     *[("price_category", m) for m in ["cv_best_macro_f1", "cv_std_macro_f1", "oof_selected_macro_f1",
                                       "holdout_serving_macro_f1", "holdout_serving_micro_f1"]],
 ]
+# Scores equal to this many digits are a tie.
+TIE_DIGITS = 12
 WINNER_KEYS = ["winner_name", "winner_model", "winner", "selected_model", "best_model", "model_name"]
 
 
@@ -64,8 +66,9 @@ def leaderboard(fold_scores: DataFrame, score: str, higher_is_better: bool = Tru
 
 
 def rank_candidates(means: DataFrame, higher_is_better: bool = True) -> DataFrame:
-    by_mean = F.desc("cv_best") if higher_is_better else F.asc("cv_best")
-    order = Window.orderBy(by_mean, "cv_std", "seq")
+    # Sums of doubles differ in the last digits from run to run; equal scores must stay equal.
+    mean, spread = F.round("cv_best", TIE_DIGITS), F.round("cv_std", TIE_DIGITS)
+    order = Window.orderBy(mean.desc() if higher_is_better else mean.asc(), spread, "seq")
     baseline = (F.col("family") == "baseline").cast("int")
     placed = means.withColumn("place", F.row_number().over(order))
     runners = Window.orderBy(baseline, "place")

@@ -145,20 +145,20 @@ def _board(board):
 @query("m9_m13_domain_leaderboard")
 def domain_leaderboard(spark, sf):
     rows = T.domain_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_domain(rows, light_candidates()["domain"])["leaderboard"])
+    return _board(T.train_domain(rows, light_candidates()["domain"], parallelism=5)["leaderboard"])
 
 
 @query("m10_m13_founded_leaderboard")
 def founded_leaderboard(spark, sf):
     rows = T.founded_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_founded(rows, light_candidates()["founded"])["leaderboard"])
+    return _board(T.train_founded(rows, light_candidates()["founded"], parallelism=5)["leaderboard"])
 
 
 @query("m11_m13_price_leaderboard_h1")
 def price_leaderboard(spark, sf):
     """Leaderboard lines of the price target, with the calibrated thresholds of the winner."""
     rows = T.price_training_rows(staged(prepared(spark, sf)))
-    result = T.train_price(rows, light_candidates()["price_category"], parallelism=4)
+    result = T.train_price(rows, light_candidates()["price_category"], parallelism=5)
     limits = F.array_join(F.array(*[F.lit(str(result["thresholds"][x])) for x in KNOWN_PRICE_LABELS]), ";")
     return _board(result["leaderboard"]).withColumn("thresholds", F.when(F.col("winner") == 1, limits))
 
