@@ -18,7 +18,9 @@ def finite(c: Column) -> Column:
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a plain finite number becomes null."""
     text = strip(c.cast("string"))
-    return finite(F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")))
+    value = F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    # A plain number can only overflow; nullif keeps the value from being computed again.
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def presence_pair(c: Column) -> Column:

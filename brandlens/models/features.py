@@ -11,8 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer,
-    StandardScaler, StringIndexer, VectorAssembler,
+    CountVectorizerModel, ElementwiseProduct, Normalizer, OneHotEncoder, SQLTransformer, StandardScaler,
+    StringIndexer, VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
@@ -30,13 +30,14 @@ MAX_CATEGORIES = 100_000
 def vocabulary(tokenized: DataFrame, terms: str, size: int, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(term, occurrences, documents) of the most frequent terms; ties by term.
 
-    Terms of too few documents are dropped first. Each row sends an occurrence and, once per
-    distinct term, a document, both combined before the shuffle.
+    Terms of too few documents are dropped first. In a row's sorted terms the first of each run
+    counts the document, so one pass gives both numbers, combined before the shuffle.
     """
-    said = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(1).alias("o"), F.lit(0).alias("d")))
-    held = F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(0).alias("o"), F.lit(1).alias("d")))
-    return (tokenized.select(F.inline(F.concat(said, held))).groupBy("term")
-            .agg(F.sum("o").alias("occurrences"), F.sum("d").alias("documents"))
+    ordered = tokenized.select(F.array_sort(terms).alias("t"))
+    marked = F.transform("t", lambda x, i: F.struct(
+        x.alias("term"), F.when((i == 0) | (F.get("t", i - 1) != x), 1).otherwise(0).alias("first")))
+    return (ordered.select(F.inline(marked)).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("occurrences"), F.sum("first").alias("documents"))
             .filter(F.col("documents") >= min_documents)
             .orderBy(F.desc("occurrences"), "term").limit(size))
 
@@ -47,12 +48,16 @@ def idf(documents: int, total: int) -> float:
 
 
 def text_stages(column: str, prefix: str) -> list[Transformer]:
-    """Lower-case words of two or more letters, and their pairs, as one term list."""
+    """Lower-case words of two or more letters, and their pairs, as one term list.
+
+    Plain SQL expressions, so that no row leaves the generated code.
+    """
+    words = f"regexp_extract_all(lower({column}), '[{WORD}]{{2,}}', 0)".replace("\\", "\\\\")
+    pairs = (f"zip_with(slice({prefix}words, 1, greatest(size({prefix}words) - 1, 0)), slice({prefix}words, 2, size({prefix}words)), "
+             "(a, b) -> concat(a, ' ', b))")
     return [
-        RegexTokenizer(inputCol=column, outputCol=f"{prefix}words", gaps=False, toLowercase=True,
-                       pattern=f"[{WORD}]{{2,}}"),
-        NGram(n=2, inputCol=f"{prefix}words", outputCol=f"{prefix}pairs"),
-        SQLTransformer(statement=f"SELECT *, concat({prefix}words, {prefix}pairs) AS {prefix}terms FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, {words} AS {prefix}words FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, concat({prefix}words, {pairs}) AS {prefix}terms FROM __THIS__"),
     ]
 
 

@@ -219,11 +219,12 @@ def train_domain(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FO
     indexed = indexer.transform(rows)
     development, holdout = _parts(indexed)
     keep = ["row_id", "domain", "label"]
-    decode = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
+    back = IndexToString(inputCol="prediction", outputCol="pred_domain", labels=classes)
 
     def predict(candidate, train, valid):
         for i, model in enumerate(fit_domain(train, candidate["build"], candidate["grid"], parallelism)):
-            yield i, model.transform(valid).select("row_id", F.col("domain").alias("y_true"), decode.alias("y_pred"))
+            yield i, back.transform(model.transform(valid)).select(
+                "row_id", F.col("domain").alias("y_true"), F.col("pred_domain").alias("y_pred"))
 
     oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     scores = metrics.multiclass_metrics(oof, ["seq", "grid", "fold"])
@@ -234,7 +235,6 @@ def train_domain(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FO
     fitted = features(development)
     build, params = candidates[won["seq"]]["build"], candidates[won["seq"]]["grid"][won["grid"]]
     model = fit_domain(_all_vectors(fitted, development, keep), build, [params], 1)[0]
-    back = IndexToString(inputCol="prediction", outputCol="pred_domain", labels=classes)
     pipeline = PipelineModel([*fitted.stages, model, back])
     tested = staged(pipeline.transform(holdout).select("row_id", F.col("domain").alias("y_true"),
                                                        F.col("pred_domain").alias("y_pred")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandlens.operators.skew import join_group_sizes
+from brandlens.sources.staging import staged
 
 # Names per row of the examples report; a larger group continues in further parts.
 EXAMPLES_PER_PART = 1000
@@ -52,6 +53,7 @@ def variant_examples(pairs: DataFrame, per_part: int = EXAMPLES_PER_PART) -> Dat
     A group of up to ``per_part`` spellings is one row (part 0). A larger one is spread over
     parts by hash, so that no task gathers an unbounded group and no spelling is dropped.
     """
+    pairs = staged(pairs)
     sized = join_group_sizes(pairs, ambiguous_names(pairs), "name_clean_candidate", "n_original_variants")
     parts = F.ceil(F.col("n_original_variants") / per_part)
     return (sized.withColumn("part", F.pmod(F.xxhash64("original"), parts).cast("bigint"))

@@ -58,7 +58,7 @@ def features_without(df: DataFrame, target: str = "") -> DataFrame:
 def known_domain_rows(prepared: DataFrame) -> DataFrame:
     """Rows with a domain that is neither empty nor unknown."""
     value = text.strip(F.col("domain"))
-    return prepared.filter((value != "") & (value != UNKNOWN_DOMAIN)).withColumn("domain", value)
+    return prepared.filter(~value.isin("", UNKNOWN_DOMAIN)).withColumn("domain", value)
 
 
 def domain_rows(prepared: DataFrame, min_rows: int = MIN_CLASS_ROWS) -> DataFrame:

@@ -13,6 +13,7 @@ from brandlens.operators.literal import measure
 
 QUARTILES = ([0.25, 0.5, 0.75], ["p25", "median", "p75"])
 MEDIAN = ([0.5], ["median"])
+BLANK = "#blank"
 
 
 def n_rows() -> Column:
@@ -181,14 +182,16 @@ def area_histogram_whole(df: DataFrame, v: Column) -> DataFrame:
 
 def text_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per text column: blank rows, mean and median length, distinct values (null as empty)."""
-    freq = Q.value_frequencies(df, {c: text.char_count(F.col(c)) for c in columns})
-    blanks = df.agg(n_rows().alias("total"), *[F.count_if(text.is_blank(F.col(c))).alias(c) for c in columns])
-    blanks = blanks.select("total", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("empty_count")) for c in columns])))
+    # One scan for lengths and blanks; a second one for the distinct values.
+    freq = Q.value_frequencies(df, {c: text.char_count(F.col(c)) for c in columns}
+                               | {c + BLANK: text.is_blank(F.col(c)).cast("int") for c in columns})
+    is_flag = F.col("column").endswith(BLANK)
+    blanks = (freq.filter(is_flag).groupBy(F.regexp_replace("column", BLANK + "$", "").alias("column"))
+              .agg(Q.rows().alias("total"), Q.rows_where(F.col("value") == 1).alias("empty_count")))
+    lengths = Q.summarize(freq.filter(~is_flag), [Q.mean().alias("avg_length")], [0.5], ["median_length"])
     # Long texts are compared by digest, so the distinct count does not shuffle whole texts.
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), text_identity(F.col(c)).alias("v")) for c in columns])
     distinct = df.select(F.inline(pairs)).groupBy("column").agg(F.countDistinct("v").alias("n_unique"))
-    lengths = Q.summarize(freq, [Q.mean().alias("avg_length")], [0.5], ["median_length"])
     # One row per column on every side.
     return (F.broadcast(blanks).join(distinct, "column").join(F.broadcast(lengths), "column")
             .select("column", "empty_count",
@@ -203,9 +206,14 @@ def text_identity(c: Column) -> Column:
     return F.when(F.octet_length(value) <= 64, value).otherwise(F.sha2(value, 256))
 
 
-def description_columns(c: Column) -> dict[str, Column]:
-    """Audit columns of a long text; all look at the stripped text."""
-    shown = F.coalesce(text.strip(c), F.lit(""))
+def shown_text(df: DataFrame, c: Column) -> DataFrame:
+    """The stripped text as a column of its own, so that it is made once per row."""
+    return df.select(F.coalesce(text.strip(c), F.lit("")).alias("shown"))
+
+
+def description_columns() -> dict[str, Column]:
+    """Audit columns of a long text, over ``shown``."""
+    shown = F.col("shown")
     return {
         "desc_len": F.length(shown),
         "desc_word_count": text.word_count(shown),
@@ -217,8 +225,7 @@ def description_columns(c: Column) -> dict[str, Column]:
 
 def description_summary(df: DataFrame, c: Column) -> DataFrame:
     """One row: blank texts, length and word statistics, rows with digits and with years."""
-    parts = description_columns(c)
-    freq = Q.value_frequencies(df, parts)
+    freq = Q.value_frequencies(shown_text(df, c), description_columns())
     v = F.col("value")
     stats = Q.summarize(
         freq, [Q.rows().alias("rows"), F.max("value").alias("max"), Q.mean().alias("mean"),
@@ -242,7 +249,7 @@ def description_summary(df: DataFrame, c: Column) -> DataFrame:
 
 
 def year_mention_histogram(df: DataFrame, c: Column) -> DataFrame:
-    return (df.select(description_columns(c)["desc_year_mentions"].alias("year_mentions_count"))
+    return (shown_text(df, c).select(description_columns()["desc_year_mentions"].alias("year_mentions_count"))
             .groupBy("year_mentions_count").agg(n_rows().alias("rows")).orderBy("year_mentions_count"))
 
 

@@ -6,9 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brandlens.sources.staging import SMALL_ROWS, is_small, staged
+from brandlens.sources.staging import is_small, staged
 
-MAX_RANGES = 256
+# Distinct values up to which one task may hold the value table of a column.
+SMALL_VALUES = 1_000_000
+# Ranges of the large case: sixteen blocks of sixteen.
+BLOCK = 16
+MAX_RANGES = BLOCK * BLOCK
 
 
 def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -27,7 +31,7 @@ def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequen
 
 
 def exact_quantiles(freq: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("column",),
-                    small: int = SMALL_ROWS) -> DataFrame:
+                    small: int = SMALL_VALUES) -> DataFrame:
     """(keys, q): quantiles of ``value`` weighted by ``n``, as an array in the order of ``probs``.
 
     ``freq`` is a staged value table whose keys are few (columns, folds). Up to ``small`` distinct
@@ -56,9 +60,12 @@ def range_quantiles(values: DataFrame, probs: Sequence[float], keys: Sequence[st
         "ranks",
         F.array_distinct(F.array(*[f(x).cast("bigint") for x in position for f in (F.floor, F.ceil)])),
     )
-    ranged = values.join(F.broadcast(per_key), keys).withColumn(
-        "range", F.size(F.filter("cuts", lambda x: x < F.col("value")))
-    ).select(*keys, "range", "value", "n", "ranks")
+    # The number of cuts below a value, found by block and then inside the block.
+    per_key = per_key.withColumn("blocks", F.array(*[F.col("cuts")[i - 1] for i in range(BLOCK, MAX_RANGES, BLOCK)]))
+    block = F.size(F.filter("blocks", lambda x: x < F.col("value"))) * BLOCK
+    in_block = F.size(F.filter(F.slice("cuts", F.col("block") + 1, F.lit(BLOCK - 1)), lambda x: x < F.col("value")))
+    ranged = (values.join(F.broadcast(per_key), keys).withColumn("block", block)
+              .withColumn("range", F.col("block") + in_block).select(*keys, "range", "value", "n", "ranks"))
 
     # At most MAX_RANGES rows per key.
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

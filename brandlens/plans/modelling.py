@@ -82,7 +82,7 @@ def _vocabulary_query(column, size):
         """Column sums of the sparse TF-IDF vectors, named by term."""
         rows = feature_rows(spark, sf)
         stages = X.fit_text(rows, column, size, rows.count(), "t_")
-        terms = F.array(*[F.lit(t) for t in stages[3].vocabulary])
+        terms = F.array(*[F.lit(t) for t in stages[2].vocabulary])
         summary = Summarizer.metrics("sum", "numNonZeros").summary(F.col("t_tfidf"))
         totals = X.run(stages, rows).select(summary.alias("s"))
         cells = F.arrays_zip(terms.alias("term"), vector_to_array("s.sum").alias("weight"),

@@ -12,7 +12,7 @@ from brandlens.operators.prepare import prepare_features
 from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, rounded, table
 from brandlens.plans.tables_and_functions import _MIXED
-from brandlens.sources.brands import raw_brands
+from brandlens.sources.brands import documents, raw_brands
 
 
 def col(name):
@@ -235,7 +235,7 @@ def text_quality(spark, sf):
 
 @query("a11_text_quality_documents", _text_sql("documents", ["text", "lang", "source"]))
 def text_quality_documents(spark, sf):
-    return rounded(P.text_quality(table(spark, sf, "documents"), ["text", "lang", "source"]))
+    return rounded(P.text_quality(documents(spark, sf), ["text", "lang", "source"]))
 
 
 @query("a12_founded_summary", O.sql(
@@ -263,7 +263,7 @@ def description_summary(spark, sf):
 
 @query("a13_description_summary_documents", _description_sql("documents", "text"))
 def description_summary_documents(spark, sf):
-    return rounded(P.description_summary(table(spark, sf, "documents"), col("text")))
+    return rounded(P.description_summary(documents(spark, sf), col("text")))
 
 
 def _buckets_sql(source, value, buckets):
@@ -282,7 +282,7 @@ def length_histogram(spark, sf):
 
 @query("a14_length_histogram_documents", _buckets_sql("documents", f"length(coalesce({O.strip('text')}, ''))", _LENGTHS))
 def length_histogram_documents(spark, sf):
-    return P.length_histogram(table(spark, sf, "documents"), col("text"))
+    return P.length_histogram(documents(spark, sf), col("text"))
 
 
 _AREAS = [("0_1000", "v >= 0 and v <= 1000"), ("1000_5000", "v > 1000 and v <= 5000"),
@@ -445,12 +445,12 @@ def _length_sql(order, where):
 
 @query("o2_longest_documents", _length_sql("desc", "true"))
 def longest(spark, sf):
-    return P.by_length(table(spark, sf, "documents"), "doc_id", col("text"))
+    return P.by_length(documents(spark, sf), "doc_id", col("text"))
 
 
 @query("o2_shortest_documents", _length_sql("asc", "length(d) > 0"))
 def shortest(spark, sf):
-    return P.by_length(table(spark, sf, "documents"), "doc_id", col("text"), longest=False)
+    return P.by_length(documents(spark, sf), "doc_id", col("text"), longest=False)
 
 
 @query("o2_longest_descriptions", O.sql(

@@ -151,7 +151,7 @@ def train_run(raw: DataFrame, folder: str, run_id: str, candidates: Mapping[str,
         (run_id, m, k, None if v is None else float(v)) for m, r in results.items() for k, v in r["metrics"].items()])
     attributes = literal_rows(spark, ["run_id", "model", "key", "value"], [
         (run_id, m, k, str(v)) for m, r in results.items() for k, v in r["attributes"].items()])
-    classes = literal_rows(spark, ["run_id", "domain"], [(run_id, c) for c in results["domain"]["classes"]])
+    classes = spark.createDataFrame([(run_id, c) for c in results["domain"]["classes"]], "run_id string, domain string")
     metrics.write.mode("append").parquet(f"{folder}/metrics")
     attributes.write.mode("append").parquet(f"{folder}/attributes")
     classes.write.mode("append").parquet(f"{folder}/classes")

@@ -12,7 +12,7 @@ from brandlens.operators import prepare, profile, quality, schema, split
 from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, table
 from brandlens.sources import csv_files
-from brandlens.sources.brands import raw_brands
+from brandlens.sources.brands import documents, raw_brands
 from brandlens.sources.staging import shared_folder
 
 ROW = ["row_id"]
@@ -177,7 +177,7 @@ _by_row("f27_labels_text", lambda: [
 
 @query("f1_basic_text_documents", f"select doc_id, {O.basic('text')} as normalized from documents")
 def basic_documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.basic_text(F.col("text")).alias("normalized"))
+    return documents(spark, sf).select("doc_id", text.basic_text(F.col("text")).alias("normalized"))
 
 
 @query("f12_to_f16_documents",
@@ -185,7 +185,7 @@ def basic_documents(spark, sf):
        f"{O.has_digit('text')} as has_digit, {O.year_mentions('text')} as years, {O.blank('text')}::int as is_empty from documents")
 def measured_documents(spark, sf):
     c = F.col("text")
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", text.char_count(c).alias("chars"), text.word_count(c).alias("words"), text.has_digit(c).alias("has_digit"),
         text.year_mentions(c).alias("years"), text.empty_flag(c).alias("is_empty"))
 

@@ -98,7 +98,7 @@ def test_unseen_categories_give_no_slot(spark, raw):
 def test_tfidf_by_hand(spark):
     df = spark.createDataFrame([("aa bb",), ("aa cc",), ("x",)], "t string")
     stages = X.fit_text(df, "t", 10, 3, "p_")
-    assert stages[3].vocabulary == ["aa"]  # bb, cc and the pairs occur once, x is too short
+    assert stages[2].vocabulary == ["aa"]  # bb, cc and the pairs occur once, x is too short
     assert [r.p_tfidf for r in X.run(stages, df).collect()] == [Vectors.sparse(1, [0], [1.0])] * 2 + [Vectors.sparse(1, [], [])]
 
 
