@@ -86,7 +86,6 @@ OLD_THRESHOLD_GRID = [
 
 # --- fixed values: acceptance policy --------------------------------------
 POLICY_VERSION = "model_quality_v1"
-MANIFEST_VERSION = "retail_model_bundle_v1"
 MODELS = ["domain", "founded", "price_category"]
 POLICY = [
     ("domain", "cv_best_macro_f1", ">=", 0.45),

@@ -29,7 +29,7 @@ def candidate(name: str, family: str, build, grid: list[dict]) -> dict:
     return {"name": name, "family": family, "build": build, "grid": grid}
 
 
-def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False) -> list[dict]:
+def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
     """Multiclass; trained with balanced row weights in ``weight``."""
     def logistic(p, n):
         return LogisticRegression(family="multinomial", regParam=1.0 / (p["C"] * n), elasticNetParam=0.0,
@@ -41,7 +41,7 @@ def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = Fa
                                       weightCol="weight", labelCol="label", cacheNodeIds=True)
 
     def boosted(p, n):
-        trees_ = GBTClassifier(maxIter=300, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
+        trees_ = GBTClassifier(maxIter=rounds, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
                                featureSubsetStrategy="0.9", seed=SEED)
         return OneVsRest(classifier=trees_, labelCol="label")
 
@@ -54,7 +54,7 @@ def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = Fa
     return found
 
 
-def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False) -> list[dict]:
+def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
     """Regression on log1p of the year, in ``label``."""
     def ridge(p, n):
         return LinearRegression(regParam=p["alpha"] / n, elasticNetParam=0.0, standardization=False, solver="l-bfgs",
@@ -66,7 +66,7 @@ def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = F
                                      labelCol="label", cacheNodeIds=True)
 
     def boosted(p, n):
-        return GBTRegressor(maxIter=300, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
+        return GBTRegressor(maxIter=rounds, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
                             featureSubsetStrategy="0.9", seed=SEED, labelCol="label")
 
     found = [
@@ -78,7 +78,7 @@ def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = F
     return found
 
 
-def price_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False) -> list[dict]:
+def price_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
     """Binary models, one per label, trained with balanced row weights."""
     def logistic(p, n):
         return LogisticRegression(family="binomial", regParam=1.0 / (p["C"] * n), elasticNetParam=0.0,
@@ -89,7 +89,7 @@ def price_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = Fal
                                       featureSubsetStrategy="sqrt", seed=SEED, weightCol="weight", cacheNodeIds=True)
 
     def boosted(p, n):
-        return GBTClassifier(maxIter=300, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
+        return GBTClassifier(maxIter=rounds, stepSize=p["learning_rate"], maxDepth=p["max_depth"], subsamplingRate=0.9,
                              featureSubsetStrategy="0.9", seed=SEED)
 
     found = [
