@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
-from .shared import new_path
+from . import fertility, packing, passages, token_files
+from .shared import new_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,11 +22,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-file")
     token_files.write_token_file(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return token_files.read_token_file(spark, path, with_ids=False)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op8_token_files)}
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op3_fertility, op8_token_files, op10_passages)}
 ORACLES: dict[str, str] = {}

@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,8 +62,22 @@ def slices(batch: pa.RecordBatch, name: str = "text", most_bytes: int = 8 << 20)
     """Cut a batch where its texts pass a number of bytes; a longer single text stays whole."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(name)), 0)).astype(np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(name)), 0)).astype(np.int64)
     groups = (np.cumsum(sizes) - sizes) // most_bytes
     cuts = np.flatnonzero(np.diff(groups)) + 1
     for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(int(low), int(high - low))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once, for sessions whose workers cannot import it."""
+    context = spark.sparkContext
+    if getattr(context, "_brandlens_sent", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="brandlens-"), "brandlens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._brandlens_sent = True
