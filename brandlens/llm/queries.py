@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fertility, packing, passages, token_files
+from . import fertility, graph_search, licenses, mixing, near_duplicates, packing, passages, token_counts, token_files
 from .shared import new_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,20 +22,53 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+LANGUAGE_WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+
+
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the mix: the language of documents that have labels."""
+    return labels.select("doc_id").distinct().join(docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    domains = mixing.fit_domains(docs, language_labels(docs, _table(spark, sf_dir, "labels")), list(LANGUAGE_WEIGHTS))
+    mixed = mixing.mixed_rates(docs.select("doc_id", "text"), domains, LANGUAGE_WEIGHTS)
+    shares = [F.col("posterior")[k].alias(f"share_{name}") for k, name in enumerate(domains.names)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                                    public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-file")
     token_files.write_token_file(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return token_files.read_token_file(spark, path, with_ids=False)
 
 
+def op9_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest_rows(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op3_fertility, op8_token_files, op10_passages)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_packing, op2_mixing, op3_fertility, op4_licenses, op5_near_duplicates, op6_token_counts, op8_token_files, op9_graph_search, op10_passages)}
 ORACLES: dict[str, str] = {}
