@@ -38,7 +38,7 @@ def encoded_parts(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame
 
         part, at, tokens = TaskContext.get().partitionId(), 0, encoder(path)
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, most_bytes=8 << 20):
                 ids, n = tokens.encode(rows.column("text"))
                 ends = np.cumsum(n)
                 starts = ends - n

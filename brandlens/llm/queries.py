@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fertility, graph_search, licenses, mixing, near_duplicates, packing, passages, token_counts, token_files
+from . import fertility, graph_search, licenses, mixing, near_duplicates, packing, passages, repeats, token_counts, token_files
 from .shared import new_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-file")
     token_files.write_token_file(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
@@ -70,5 +74,6 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_packing, op2_mixing, op3_fertility, op4_licenses, op5_near_duplicates, op6_token_counts, op8_token_files, op9_graph_search, op10_passages)}
+    op1_packing, op2_mixing, op3_fertility, op4_licenses, op5_near_duplicates, op6_token_counts, op7_repeats,
+    op8_token_files, op9_graph_search, op10_passages)}
 ORACLES: dict[str, str] = {}
