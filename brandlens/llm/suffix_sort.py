@@ -102,5 +102,5 @@ def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     first = np.full(group[-1] + 1 if len(group) else 0, len(data))
     np.minimum.at(first, group, places)
     state = np.zeros(len(data), dtype=np.int8)
-    state[places] = again + (again & (first[group] == places))
+    state[places] = again.astype(np.int8) + (again & (first[group] == places))
     return [state[b:b + max(s - length + 1, 0)] for b, s in zip(begins, sizes)]
