@@ -45,12 +45,12 @@ def encoded_parts(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame
                 packed = [ids[a:b].tobytes() + np.uint32(end_id).tobytes() for a, b in zip(starts, ends)]
                 total = n + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), part), pa.int32()), rows.column("doc_id").cast(pa.int64()),
+                    [pa.array(np.full(len(n), part), pa.int32()), rows.column("doc_id"),
                      pa.array(at + np.cumsum(total) - total), pa.array(total), pa.array(packed, pa.binary())],
                     names=["part", "doc_id", "part_start", "n_tokens", "ids"])
                 at += int(total.sum())
 
-    return staged(docs.select("doc_id", "text").mapInArrow(encode, _ENCODED), "encoded")
+    return staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, _ENCODED), "encoded")
 
 
 def part_offsets(encoded: DataFrame) -> DataFrame:

@@ -104,9 +104,10 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with their bytes and two hashes that name them."""
-    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return docs.withColumn("_bytes", raw).withColumn("_key", F.xxhash64("_bytes")).withColumn("_key2", F.xxhash64(F.lit(LENGTH), "_bytes"))
+    """A row's columns as one, its text's bytes, and two hashes that name the text."""
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("_bytes")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), raw)
+    return rows.withColumn("_key", F.xxhash64("_bytes")).withColumn("_key2", F.xxhash64(F.lit(LENGTH), "_bytes"))
 
 
 def _live_hashes(texts: DataFrame) -> np.ndarray:
@@ -228,13 +229,13 @@ def removed_spans(texts: DataFrame) -> DataFrame:
 
 
 def cut(docs: DataFrame) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (what remains, without parts of characters)."""
-    texts = _keyed(docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"))
-    spans = removed_spans(texts)
-    joined_rows = texts.join(spans, ["_key", "_key2"], "left").drop("_key", "_key2")
-    names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")]
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
-                           T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
+    """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (what remains, without parts
+    of characters); columns of these names are replaced."""
+    added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(n, T.StringType()) for n in ("kept_sha256", "kept_text")]
+    docs = docs.drop(*[f.name for f in added])
+    texts = _keyed(docs)
+    schema = T.StructType([*docs.schema, *added])
+    joined_rows = texts.join(removed_spans(texts), ["_key", "_key2"], "left").select("_row", "_bytes", "starts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +253,7 @@ def cut(docs: DataFrame) -> DataFrame:
                 rows.append((len(text), len(text) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
             columns = zip(*rows) if rows else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+            yield pa.RecordBatch.from_arrays([*batch.column("_row").flatten(), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                                              names=[f.name for f in schema])
 
     return joined_rows.mapInArrow(apply, schema)
@@ -263,4 +264,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     A cut may part a character's bytes; the rest of such a character goes as well. All rows stay.
     """
-    return cut(docs).withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))).select(docs.columns)
+    rows = cut(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

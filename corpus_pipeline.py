@@ -14,11 +14,16 @@ from brandlens.llm.queries import LANGUAGE_WEIGHTS, language_labels
 from brandlens.llm.shared import new_path, ship_package
 
 
+def _as_row(docs: DataFrame) -> DataFrame:
+    """All columns as one, beside those that an operator reads, so that no name can clash."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the passage classifier does not reject. Held-out labels are not used."""
     ship_package(spark)
     model = passages.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return passages.score(docs, model).filter("quality_score >= 0.5").select(docs.columns)
+    return passages.score(_as_row(docs), model).filter("quality_score >= 0.5").select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +44,8 @@ def mixed_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domains = mixing.fit_domains(docs, language_labels(docs, labels), list(LANGUAGE_WEIGHTS))
-    mixed = mixing.mixed_rates(docs, domains, LANGUAGE_WEIGHTS, total=float("inf"), floor=1.0)
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    mixed = mixing.mixed_rates(_as_row(docs), domains, LANGUAGE_WEIGHTS, total=float("inf"), floor=1.0)
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
