@@ -132,9 +132,12 @@ def _gradients(w: dict[str, np.ndarray], x: np.ndarray, n: np.ndarray, y: np.nda
             "weigh": product.T @ d_logit, "score": f["bag"].T @ d, "score_bias": d.sum(keepdims=True)}
 
 
-def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, width: int = 16, rounds: int = 60, bags: int = 64, rate: float = 0.005,
-        decay: float = 1e-4, seed: int = 7) -> Model:
-    """Learn from bags of passages (rows of x, n to a bag) with labels y of 0 and 1."""
+def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, width: int = 16, rounds: int = 60, least_steps: int = 600, bags: int = 64,
+        rate: float = 0.005, decay: float = 1e-4, seed: int = 7) -> Model:
+    """Learn from bags of passages (rows of x, n to a bag) with labels y of 0 and 1.
+
+    rounds: passes over the bags, more if that gives fewer than `least_steps` steps.
+    """
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), {}, float(y.mean()) if len(y) else 0.5)
     draw = np.random.default_rng(seed)
@@ -145,9 +148,9 @@ def fit(x: np.ndarray, n: np.ndarray, y: np.ndarray, width: int = 16, rounds: in
     w = {k: draw.normal(0, 1 / np.sqrt(s[0]), s) * (not k.endswith("bias")) for k, s in shapes.items()}
     first, second, step = {k: 0.0 for k in w}, {k: 0.0 for k in w}, 0
     begin = np.cumsum(n) - n
-    for _ in range(rounds):
-        order = draw.permutation(len(y))
-        for chosen in np.array_split(order, max(len(y) // bags, 1)):
+    batches = max(len(y) // bags, 1)
+    for _ in range(max(rounds, -(-least_steps // batches))):
+        for chosen in np.array_split(draw.permutation(len(y)), batches):
             rows = np.concatenate([np.arange(begin[i], begin[i] + n[i]) for i in chosen])
             step += 1
             for k, g in _gradients(w, x[rows], n[chosen], y[chosen]).items():
