@@ -140,7 +140,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
                 second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + _GRAM))
                 data, out = buffer.bytes.tobytes(), []
                 for name, begin, end in zip(second.tolist(), low.tolist(), high.tolist()):
-                    if len(sent) >= 500_000:
+                    if len(sent) >= 200_000:
                         sent.clear()
                     out.append(None if name in sent else data[begin:end + LENGTH])
                     sent.add(name)
@@ -235,13 +235,13 @@ def cut(docs: DataFrame) -> DataFrame:
     docs = docs.drop(*[f.name for f in added])
     texts = _keyed(docs)
     schema = T.StructType([*docs.schema, *added])
-    joined_rows = texts.join(removed_spans(texts), ["_key", "_key2"], "left").select("_row", "_bytes", "starts")
+    joined_rows = texts.join(removed_spans(texts), ["_key", "_key2"], "left").select("_row", "starts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            starts = batch.column("starts")
-            for text, windows in zip(batch.column("_bytes").to_pylist(), starts.to_pylist()):
+            rows, own = [], batch.column("_row").field("text").cast(pa.string())
+            for text, windows in zip(own, batch.column("starts")):
+                text, windows = (text.as_py() or "").encode(), windows.as_py()
                 kept, n_spans = text, 0
                 if windows:
                     edge = np.zeros(len(text) + 1, dtype=np.int64)

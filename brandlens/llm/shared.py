@@ -58,7 +58,7 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, name: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, name: str = "text", most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its texts pass a number of bytes; a longer single text stays whole."""
     if not batch.num_rows:
         return

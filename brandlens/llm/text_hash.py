@@ -24,16 +24,16 @@ def byte_values(lower: bool = False) -> np.ndarray:
     return values
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(base: int, bits: int) -> np.ndarray:
-    steps = np.full(1 << bits, base, dtype=np.uint64)
-    steps[0] = 1
-    return np.cumprod(steps)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """The first n powers modulo 2**64."""
-    return _powers(base, max(16, int(n).bit_length()))[:n]
+    """The first n powers modulo 2**64; a worker keeps those of its longest buffer so far."""
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        steps = np.full(1 << max(16, int(n).bit_length()), base, dtype=np.uint64)
+        steps[0] = 1
+        _POWERS[base] = np.cumprod(steps)
+    return _POWERS[base][:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
