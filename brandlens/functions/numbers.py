@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 from brandlens.contract import FRANCHISE_STEM, MAX_FOUNDED_YEAR, MIN_FOUNDED_YEAR
@@ -23,9 +26,18 @@ def to_number(c: Column) -> Column:
     return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
+def _all_digits() -> tuple[str, str]:
+    """Decimal digits of all scripts but ASCII, and the ASCII digits of the same values."""
+    found = [chr(i) for i in range(128, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.decimal(x)) for x in found)
+
+
+_DIGITS = _all_digits()
+
+
 def presence_pair(c: Column) -> Column:
     """Own and franchise store counts from free text, as struct(own, franchise)."""
-    found = F.regexp_extract_all(c, F.lit(r"(\p{Nd}+)"), F.lit(1))
+    found = F.regexp_extract_all(F.translate(c, *_DIGITS), F.lit("([0-9]+)"), F.lit(1))
     first = F.try_element_at(found, F.lit(1)).try_cast("double")
     second = F.try_element_at(found, F.lit(2)).try_cast("double")
     franchised = F.lower(c).contains(FRANCHISE_STEM)

@@ -29,7 +29,7 @@ def candidate(name: str, family: str, build, grid: list[dict]) -> dict:
     return {"name": name, "family": family, "build": build, "grid": grid}
 
 
-def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
+def domain_candidates(trees: int = 400, max_iter: int = 3000, boosting: bool = True, rounds: int = 300) -> list[dict]:
     """Multiclass; trained with balanced row weights in ``weight``."""
     def logistic(p, n):
         return LogisticRegression(family="multinomial", regParam=1.0 / (p["C"] * n), elasticNetParam=0.0,
@@ -54,7 +54,7 @@ def domain_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = Fa
     return found
 
 
-def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
+def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = True, rounds: int = 300) -> list[dict]:
     """Regression on log1p of the year, in ``label``."""
     def ridge(p, n):
         return LinearRegression(regParam=p["alpha"] / n, elasticNetParam=0.0, standardization=False, solver="l-bfgs",
@@ -78,7 +78,7 @@ def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = F
     return found
 
 
-def price_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = False, rounds: int = 300) -> list[dict]:
+def price_candidates(trees: int = 400, max_iter: int = 3000, boosting: bool = True, rounds: int = 300) -> list[dict]:
     """Binary models, one per label, trained with balanced row weights."""
     def logistic(p, n):
         return LogisticRegression(family="binomial", regParam=1.0 / (p["C"] * n), elasticNetParam=0.0,

@@ -23,21 +23,17 @@ from brandlens.functions.text import WORD
 # Text column and vocabulary size.
 TEXT_BLOCKS = [("description", 4000), ("name_clean", 1500)]
 MIN_DOCUMENTS = 2
-# A one-hot block keeps its categories on the driver, so their number is checked.
-MAX_CATEGORIES = 100_000
 
 
 def vocabulary(tokenized: DataFrame, terms: str, size: int, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(term, occurrences, documents) of the most frequent terms; ties by term.
 
-    Terms of too few documents are dropped first. In a row's sorted terms the first of each run
-    counts the document, so one pass gives both numbers, combined before the shuffle.
+    Terms of too few documents are dropped first. A row gives its terms and once more its distinct
+    terms, so one pass counts both, combined before the shuffle.
     """
-    ordered = tokenized.select(F.array_sort(terms).alias("t"))
-    marked = F.transform("t", lambda x, i: F.struct(
-        x.alias("term"), F.when((i == 0) | (F.get("t", i - 1) != x), 1).otherwise(0).alias("first")))
-    return (ordered.select(F.inline(marked)).groupBy("term")
-            .agg(F.count(F.lit(1)).alias("occurrences"), F.sum("first").alias("documents"))
+    both = F.array(F.struct(F.lit(0).alias("once"), F.col(terms).alias("t")), F.struct(F.lit(1).alias("once"), F.array_distinct(terms).alias("t")))
+    return (tokenized.select(F.inline(both)).select("once", F.explode("t").alias("term")).groupBy("term")
+            .agg(F.count_if(F.col("once") == 0).alias("occurrences"), F.count_if(F.col("once") == 1).alias("documents"))
             .filter(F.col("documents") >= min_documents)
             .orderBy(F.desc("occurrences"), "term").limit(size))
 
@@ -99,8 +95,6 @@ def fit_category(rows: DataFrame, column: str) -> list[Transformer]:
     """One slot per category in sorted order; null counts as unknown, unseen gives all zeros."""
     filled = SQLTransformer(statement=f"SELECT *, coalesce(cast({column} as string), '{UNKNOWN_COUNTRY}') AS c_{column} FROM __THIS__")
     known = filled.transform(rows.select(column))
-    if known.select(f"c_{column}").distinct().limit(MAX_CATEGORIES + 1).count() > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories; clean it before training.")
     indexer = StringIndexer(inputCol=f"c_{column}", outputCol=f"i_{column}", handleInvalid="keep",
                             stringOrderType="alphabetAsc").fit(known)
     encoder = OneHotEncoder(inputCols=[f"i_{column}"], outputCols=[f"o_{column}"], dropLast=True)

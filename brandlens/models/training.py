@@ -34,8 +34,6 @@ from brandlens.operators.split import add_folds, add_holdout
 from brandlens.sources.staging import staged
 
 N = len(KNOWN_PRICE_LABELS)
-# Rows of sparse vectors that make a partition of a good size.
-ROWS_PER_PARTITION = 10_000
 BINARY = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
 
 
@@ -88,7 +86,7 @@ def balanced(rows: DataFrame, label: str) -> DataFrame:
     """Weight n / (classes * class rows)."""
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("class_rows"))
     total, classes = sizes.agg(F.sum("class_rows"), F.count(F.lit(1))).first()
-    weighted = join_group_sizes(rows, sizes, label, "class_rows")
+    weighted = join_group_sizes(rows, sizes, label)
     return weighted.withColumn("weight", F.lit(total) / (F.lit(classes) * F.col("class_rows"))).drop("class_rows")
 
 
@@ -100,13 +98,6 @@ def fit_founded(rows: DataFrame, build: Callable, params: Sequence[dict], parall
     return _fit_all(rows.withColumn("label", F.log1p("founded")), build, params, parallelism)
 
 
-def packed(rows: DataFrame, n: int) -> DataFrame:
-    """Few rows in few partitions: every pass of an iterative fit is one task per partition.
-    Large data keeps its partitions."""
-    wanted = max(1, -(-n // ROWS_PER_PARTITION))
-    return rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
-
-
 def _fit_all(rows: DataFrame, build: Callable, params: Sequence[dict], parallelism: int) -> list[Model]:
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -162,8 +153,8 @@ def cross_predict(development: DataFrame, candidates: Sequence[dict], keep: Sequ
     def one_fold(fold: int) -> list[DataFrame]:
         train, valid = development.filter(F.col("fold") != fold), development.filter(F.col("fold") == fold)
         fitted = features(train)
-        train_v = packed(vectors(fitted, train, keep), train.count()).persist(StorageLevel.MEMORY_AND_DISK)
-        valid_v = packed(vectors(fitted, valid, keep), valid.count()).persist(StorageLevel.MEMORY_AND_DISK)
+        train_v = vectors(fitted, train, keep).persist(StorageLevel.MEMORY_AND_DISK)
+        valid_v = vectors(fitted, valid, keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             parts = []
             for seq, candidate in enumerate(candidates):
@@ -228,7 +219,7 @@ def train_domain(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FO
 
     oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     scores = metrics.multiclass_metrics(oof, ["seq", "grid", "fold"])
-    base = baselines.fold_scores(baselines.mode_baseline(development, "domain"), "macro_f1")
+    base = baselines.fold_scores(baselines.mode_baseline(development, "domain", folds), "macro_f1")
     board = make_leaderboard(best_grid_points(scores, "macro_f1"), candidates, ("DummyMostFrequent", base), True)
     won, dummy = winner_of(board), baseline_of(board)
 
@@ -267,7 +258,7 @@ def train_founded(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_F
 
     oof = cross_predict(development, candidates, keep, predict, folds, features, parallelism)
     scores = oof.groupBy("seq", "grid", "fold").agg(F.avg(F.abs(F.col("y_true") - F.col("y_pred"))).alias("mae"))
-    base = baselines.fold_scores(baselines.median_baseline(development, "founded"), "mae")
+    base = baselines.fold_scores(baselines.median_baseline(development, "founded", folds), "mae")
     board = make_leaderboard(best_grid_points(scores, "mae", higher=False), candidates, ("DummyMedian", base), False)
     won, dummy = winner_of(board), baseline_of(board)
 
@@ -364,7 +355,7 @@ def train_price(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FOL
 
 
 def _all_vectors(fitted: PipelineModel, development: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return packed(vectors(fitted, development, keep), development.count())
+    return vectors(fitted, development, keep)
 
 
 def _parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

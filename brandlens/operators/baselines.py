@@ -12,7 +12,7 @@ from brandlens.operators.metrics import ratio
 from brandlens.sources.staging import staged
 
 
-def mode_baseline(rows: DataFrame, target: str = "y_true") -> DataFrame:
+def mode_baseline(rows: DataFrame, target: str = "y_true", n_folds: int = CV_FOLDS) -> DataFrame:
     """(fold, predicted, macro_f1): most frequent class of the other folds, scored on the fold.
 
     Only counts per (fold, class) are used. A constant prediction has an F1 for its own class
@@ -21,7 +21,7 @@ def mode_baseline(rows: DataFrame, target: str = "y_true") -> DataFrame:
     counts = rows.groupBy("fold", F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("label").agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias("by_fold"))
-    folds = F.array(*[F.lit(f) for f in range(CV_FOLDS)])
+    folds = F.array(*[F.lit(f) for f in range(n_folds)])
     outside = totals.select("label", "total", "by_fold", F.explode(folds).alias("fold")).withColumn(
         "inside", F.coalesce(F.try_element_at("by_fold", F.col("fold")), F.lit(0))
     ).withColumn("rest", F.col("total") - F.col("inside"))
@@ -37,11 +37,11 @@ def mode_baseline(rows: DataFrame, target: str = "y_true") -> DataFrame:
             .select("fold", F.col("top.label").alias("predicted"), (own_f1 / n_labels).alias("macro_f1")))
 
 
-def median_baseline(rows: DataFrame, target: str = "y_true") -> DataFrame:
+def median_baseline(rows: DataFrame, target: str = "y_true", n_folds: int = CV_FOLDS) -> DataFrame:
     """(fold, median, mae): median of the other folds, mean absolute error on the fold."""
     freq = Q.value_frequencies(rows, {target: F.col(target)}, ["fold"])
-    others = F.filter(F.array(*[F.lit(f) for f in range(CV_FOLDS)]), lambda f: f != F.col("fold"))
-    # Every distinct value goes to the four folds it trains for.
+    others = F.filter(F.array(*[F.lit(f) for f in range(n_folds)]), lambda f: f != F.col("fold"))
+    # Every distinct value goes to the folds it trains for.
     training = (freq.withColumn("held", F.explode(others)).groupBy("held", "column", "value")
                 .agg(F.sum("n").alias("n")))
     medians = Q.exact_quantiles(staged(training), [0.5], ["held"]).select(

@@ -138,20 +138,19 @@ def check_result(result: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def alignment_check(source: DataFrame, result: DataFrame, key: str = "name") -> DataFrame:
-    """Whether a name proves row identity: filled, unique on both sides, and the same set."""
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"{prefix}_rows"),
-                      F.count_if(missing_text(F.col(key))).alias(f"{prefix}_missing"),
-                      F.countDistinct(key).alias(f"{prefix}_distinct"))
-
-    right = side(result, "result")
-    names = source.select(key).distinct()
-    other = result.select(key).distinct()
-    out = side(source, "source").withColumns({c: F.lit(right.select(c).scalar()) for c in right.columns})
-    out = out.withColumns({
-        "only_in_source": F.lit(names.join(other, key, "left_anti").agg(F.count(F.lit(1))).scalar()),
-        "only_in_result": F.lit(other.join(names, key, "left_anti").agg(F.count(F.lit(1))).scalar()),
-    })
+    """Whether a key proves row identity: filled, unique on both sides, and the same set."""
+    sides = source.select(F.col(key).alias("k"), F.lit(1).alias("s")).unionAll(result.select(F.col(key).alias("k"), F.lit(0).alias("s")))
+    by_key = sides.groupBy("k").agg(F.sum("s").alias("a"), F.sum(1 - F.col("s")).alias("b"))
+    empty, known = missing_text(F.col("k").cast("string")), F.col("k").isNotNull()
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    out = by_key.agg(
+        total(F.col("a")).alias("source_rows"), total(F.when(empty, F.col("a"))).alias("source_missing"), F.count_if(known & (F.col("a") > 0)).alias("source_distinct"),
+        total(F.col("b")).alias("result_rows"), total(F.when(empty, F.col("b"))).alias("result_missing"), F.count_if(known & (F.col("b") > 0)).alias("result_distinct"),
+        F.count_if((F.col("a") > 0) & ((F.col("b") == 0) | ~known)).alias("only_in_source"),
+        F.count_if((F.col("b") > 0) & ((F.col("a") == 0) | ~known)).alias("only_in_result"))
     provable = ((F.col("source_missing") == 0) & (F.col("result_missing") == 0)
                 & (F.col("source_rows") == F.col("source_distinct"))
                 & (F.col("result_rows") == F.col("result_distinct"))
@@ -161,12 +160,12 @@ def alignment_check(source: DataFrame, result: DataFrame, key: str = "name") ->
 
 def align_original(source: DataFrame, result: DataFrame, column: str = "domain",
                    row_id: str = "row_id") -> DataFrame:
-    """Result rows with the source's original value, by row id where both have it, else by a name
-    that proves row identity; refuses otherwise."""
+    """Result rows with the source's original value, by row id where both have it, else by name;
+    refuses a key that does not prove row identity."""
     if column not in source.columns:
         return result.withColumn(f"original_{column}", F.lit(None).cast("string"))
     key = row_id if row_id in source.columns and row_id in result.columns else "name"
-    if key == "name" and alignment_check(source, result).first().provable == 0:
+    if alignment_check(source, result, key).first().provable == 0:
         raise ValueError("Source and result rows cannot be matched without doubt.")
     return result.join(source.select(key, F.col(column).alias(f"original_{column}")), key, "left")
 

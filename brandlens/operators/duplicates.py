@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brandlens.operators.skew import join_group_sizes
 from brandlens.sources.staging import staged
 
-# Names per row of the examples report; a larger group continues in further parts.
-EXAMPLES_PER_PART = 1000
-
 
 def repeated(df: DataFrame, column: str) -> DataFrame:
     """Values on more than one row; null is no value, empty text is."""
@@ -47,16 +44,8 @@ def ambiguous_names(pairs: DataFrame) -> DataFrame:
             .filter("n_original_variants > 1"))
 
 
-def variant_examples(pairs: DataFrame, per_part: int = EXAMPLES_PER_PART) -> DataFrame:
-    """All original spellings of every ambiguous clean name, sorted and joined by ' | '.
-
-    A group of up to ``per_part`` spellings is one row (part 0). A larger one is spread over
-    parts by hash, so that no task gathers an unbounded group and no spelling is dropped.
-    """
+def variant_examples(pairs: DataFrame) -> DataFrame:
+    """All original spellings of every ambiguous clean name, one row each."""
     pairs = staged(pairs)
-    sized = join_group_sizes(pairs, ambiguous_names(pairs), "name_clean_candidate", "n_original_variants")
-    parts = F.ceil(F.col("n_original_variants") / per_part)
-    return (sized.withColumn("part", F.pmod(F.xxhash64("original"), parts).cast("bigint"))
-            .groupBy("name_clean_candidate", "part", "n_original_variants")
-            .agg(F.array_join(F.array_sort(F.collect_list("original")), " | ").alias("original_examples"))
-            .orderBy(F.desc("n_original_variants"), "name_clean_candidate", "part"))
+    return (join_group_sizes(pairs, ambiguous_names(pairs), "name_clean_candidate")
+            .orderBy(F.desc("n_original_variants"), "name_clean_candidate", "original"))

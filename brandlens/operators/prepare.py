@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -13,6 +14,7 @@ from brandlens.contract import (
 from brandlens.functions import labels, numbers, text
 from brandlens.operators.schema import harmonize
 from brandlens.operators.skew import semi_join_classes
+from brandlens.sources.staging import shared_folder
 
 
 def prepare_features(df: DataFrame) -> DataFrame:
@@ -94,10 +96,13 @@ def price_row_counts(prepared: DataFrame) -> DataFrame:
 
 
 def refuse_unexpected_labels(prepared: DataFrame) -> None:
-    """Raise with the first unexpected labels in sorted order, if there are any."""
-    found = [r.label for r in unexpected_label_counts(prepared).orderBy("label").limit(50).collect()]
-    if found:
-        raise ValueError(f"Unexpected price_category labels found: {found}")
+    """Raise if there are unexpected labels; all of them are written, and the error names the place."""
+    found = unexpected_label_counts(prepared).orderBy("label")
+    if not found.isEmpty():
+        path = f"{shared_folder(prepared.sparkSession)}/unexpected-labels-{uuid.uuid4().hex}"
+        found.write.parquet(path)
+        number = prepared.sparkSession.read.parquet(path).count()
+        raise ValueError(f"Unexpected price_category labels found: {number}, listed in {path}")
 
 
 def founded_out_of_range(df: DataFrame) -> DataFrame:

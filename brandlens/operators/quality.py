@@ -42,9 +42,14 @@ WINNER_KEYS = ["winner_name", "winner_model", "winner", "selected_model", "best_
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Order-free content fingerprint: row count and the sum of 32-bit row digests."""
-    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns])
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(hash32(line)).alias("digest"))
+    """Order-free content fingerprint: row count and the sum of 32-bit row digests, as text.
+
+    Each field stands with its length, so that fields cannot run together.
+    """
+    fields = [F.col(c).cast("string") for c in columns]
+    line = F.concat_ws("|", *[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in fields])
+    digest = F.sum(hash32(line).cast("decimal(38,0)")).cast("string")
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), digest.alias("digest"))
 
 
 def fingerprint_text(df: DataFrame, columns: Sequence[str]) -> str:

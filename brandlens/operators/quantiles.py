@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brandlens.sources.staging import is_small, staged
+from brandlens.sources.staging import staged
 
-# Distinct values up to which one task may hold the value table of a column.
-SMALL_VALUES = 1_000_000
-# Ranges of the large case: sixteen blocks of sixteen.
-BLOCK = 16
-MAX_RANGES = BLOCK * BLOCK
+# Distinct values that one task sorts.
+RANGE_ROWS = 50_000
 
 
 def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -31,27 +29,22 @@ def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequen
 
 
 def exact_quantiles(freq: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("column",),
-                    small: int = SMALL_VALUES) -> DataFrame:
+                    range_rows: int = RANGE_ROWS) -> DataFrame:
     """(keys, q): quantiles of ``value`` weighted by ``n``, as an array in the order of ``probs``.
 
-    ``freq`` is a staged value table whose keys are few (columns, folds). Up to ``small`` distinct
-    values the built-in aggregate does it; beyond, the values are cut into ranges and only the
-    ranges that hold a wanted rank are sorted.
+    ``freq`` is a staged value table whose keys are few (columns, folds). Values are cut into
+    ranges, whose number grows with the table, and only the ranges that hold a wanted rank are
+    sorted. Approximate cuts only decide the ranges, never the result.
     """
     values = freq.filter(F.col("value").isNotNull())
-    if is_small(freq, small):
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return values.groupBy(*keys).agg(F.percentile("value", wanted, F.col("n")).alias("q"))
-    return range_quantiles(values, probs, keys)
-
-
-def range_quantiles(values: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("column",)) -> DataFrame:
-    """Exact quantiles by range: approximate cuts only decide the ranges, never the result."""
+    # Blocks of as many ranges each; the count comes from the staged files' footers.
+    block_size = max(4, math.isqrt(-(-freq.count() // range_rows)) + 1)
+    n_ranges = block_size * block_size
     keys = list(keys)
     # Cuts split the distinct values into ranges of about equal length.
-    steps = F.array(*[F.lit(i / MAX_RANGES) for i in range(1, MAX_RANGES)])
+    steps = [i / n_ranges for i in range(1, n_ranges)]
     per_key = values.groupBy(*keys).agg(
-        F.percentile_approx("value", steps, F.lit(10 * MAX_RANGES)).alias("cuts"),
+        F.percentile_approx("value", steps, F.lit(10 * n_ranges)).alias("cuts"),
         F.sum("n").alias("total"),
     )
     # Zero-based ranks below and above every quantile position.
@@ -61,13 +54,13 @@ def range_quantiles(values: DataFrame, probs: Sequence[float], keys: Sequence[st
         F.array_distinct(F.array(*[f(x).cast("bigint") for x in position for f in (F.floor, F.ceil)])),
     )
     # The number of cuts below a value, found by block and then inside the block.
-    per_key = per_key.withColumn("blocks", F.array(*[F.col("cuts")[i - 1] for i in range(BLOCK, MAX_RANGES, BLOCK)]))
-    block = F.size(F.filter("blocks", lambda x: x < F.col("value"))) * BLOCK
-    in_block = F.size(F.filter(F.slice("cuts", F.col("block") + 1, F.lit(BLOCK - 1)), lambda x: x < F.col("value")))
+    per_key = per_key.withColumn("blocks", F.transform(F.sequence(F.lit(1), F.lit(block_size - 1)), lambda i: F.get("cuts", i * block_size - 1)))
+    block = F.size(F.filter("blocks", lambda x: x < F.col("value"))) * block_size
+    in_block = F.size(F.filter(F.slice("cuts", F.col("block") + 1, F.lit(block_size - 1)), lambda x: x < F.col("value")))
     ranged = (values.join(F.broadcast(per_key), keys).withColumn("block", block)
               .withColumn("range", F.col("block") + in_block).select(*keys, "range", "value", "n", "ranks"))
 
-    # At most MAX_RANGES rows per key.
+    # A row for each range and key.
     before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (ranged.groupBy(*keys, "range").agg(F.sum("n").alias("rows"), F.first("ranks").alias("ranks"))
               .withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))

@@ -4,37 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brandlens.sources.staging import is_small, staged
+from brandlens.sources.staging import staged
 
-# A key is hot when it holds more than one row in HOT_SHARE; there are fewer than HOT_SHARE
-# such keys whatever the data, which bounds what is broadcast.
-HOT_SHARE = 1000
 
-
-def join_group_sizes(rows: DataFrame, sizes: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+def join_group_sizes(rows: DataFrame, sizes: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows with one-row-per-key ``sizes`` (how: inner or left_semi).
 
-    ``size`` holds the rows of each key. The sizes are staged and counted: a small table is
-    broadcast, so the wide rows are not shuffled at all. Otherwise hot keys are joined by
-    broadcast and the rest, at most a thousandth of the rows per key, by shuffle.
+    The sizes are staged, so adaptive execution knows their bytes: below the session's limit they
+    are broadcast and the rows are not shuffled, beyond it partitions of hot keys are split.
     """
-    sizes = staged(sizes)
-    if is_small(sizes):
-        return rows.join(F.broadcast(sizes), key, how)
-    return split_join(rows, sizes, key, size, how)
-
-
-def split_join(rows: DataFrame, sizes: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
-    """The same join for a size table of any length: hot keys by broadcast, others by shuffle."""
-    total = sizes.agg(F.sum(size)).scalar()
-    is_hot = F.col(size) * HOT_SHARE > total
-    hot = F.broadcast(sizes.filter(is_hot))
-    cold_rows = rows.join(hot.select(key), key, "left_anti")
-    return rows.join(hot, key, how).unionByName(cold_rows.join(sizes.filter(~is_hot), key, how))
+    return rows.join(staged(sizes), key, how)
 
 
 def semi_join_classes(rows: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Rows whose key occurs at least ``min_rows`` times."""
     sizes = (rows.groupBy(key).agg(F.count(F.lit(1)).alias("class_rows"))
              .filter(F.col("class_rows") >= min_rows))
-    return join_group_sizes(rows, sizes, key, "class_rows", "left_semi")
+    return join_group_sizes(rows, sizes, key, "left_semi")

@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brandlens.contract import CV_FOLDS, SEED
 from brandlens.functions.numbers import hash32
-from brandlens.sources.staging import is_small, staged
+from brandlens.sources.staging import staged
 
-BUCKETS = 4096
-BUCKET_SHIFT = 20  # 32 hash bits, the upper 12 name the bucket
+BUCKETS = 65_536
+BUCKET_SHIFT = 16  # 32 hash bits, the upper 16 name the bucket
 
 
 def row_hash(row_id: str, seed: int | str) -> Column:
@@ -29,6 +29,13 @@ def with_hash(df: DataFrame, row_id: str, seed: int | str) -> DataFrame:
     return df.withColumn("_hash", h).withColumn("_bucket", F.shiftright("_hash", BUCKET_SHIFT))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null equals null; the left keys stay."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def bucket_starts(hashed: DataFrame, strata: Sequence[str]) -> DataFrame:
     """(strata, bucket, rows, start): rows per bucket and rows before it. At most BUCKETS rows
     of a stratum meet in one window."""
@@ -47,7 +54,7 @@ def stratum_rank(df: DataFrame, strata: Sequence[str], row_id: str, seed: int |
     inside = Window.partitionBy(*strata, "_bucket").orderBy("_hash", row_id)
     ranked = hashed.withColumn("_inside", F.row_number().over(inside))
     starts = bucket_starts(hashed.select(*strata, "_bucket"), strata).drop("_rows")
-    return (ranked.join(starts, [*strata, "_bucket"])
+    return (join_null_safe(ranked, starts, [*strata, "_bucket"])
             .withColumn(name, F.col("_start") + F.col("_inside"))
             .drop("_hash", "_bucket", "_inside", "_start"))
 
@@ -57,21 +64,21 @@ def cut_rows(df: DataFrame, strata: Sequence[str], row_id: str, seed: int | str,
     """Add the part number of each row.
 
     ``cuts`` turns (strata, n) into (strata, ends): ascending rank ends of all parts but the last.
-    Stratum columns must not be null.
+    Rows with a null stratum form strata of their own.
     """
     strata = list(strata)
     hashed = with_hash(df, row_id, seed)
     starts = staged(bucket_starts(hashed.select(*strata, "_bucket"), strata))
     ends = cuts(starts.groupBy(*strata).agg(F.sum("_rows").alias("n")))
     # A cut lies in the bucket that holds the last row before it.
-    placed = (ends.select(*strata, F.explode("ends").alias("end")).join(starts, strata)
+    placed = (join_null_safe(ends.select(*strata, F.explode("ends").alias("end")), starts, strata)
               .filter((F.col("_start") < F.col("end")) & (F.col("end") <= F.col("_start") + F.col("_rows")))
               .groupBy(*strata)
               .agg(F.collect_list(F.struct(F.col("_bucket").alias("bucket"),
                                            (F.col("end") - F.col("_start")).alias("keep"))).alias("_cuts")))
     at_zero = ends.select(*strata, F.size(F.filter("ends", lambda e: e <= 0)).alias("_empty"))
-    table = staged(at_zero.join(placed, strata, "left"))
-    marked = hashed.join(F.broadcast(table) if is_small(table) else table, strata)
+    table = staged(join_null_safe(at_zero, placed, strata, "left"))
+    marked = join_null_safe(hashed, table, strata)
     on_edge = F.coalesce(F.exists("_cuts", lambda x: x["bucket"] == F.col("_bucket")), F.lit(False))
     passed = F.col("_empty") + F.coalesce(
         F.size(F.filter("_cuts", lambda x: x["bucket"] < F.col("_bucket"))), F.lit(0))

@@ -58,10 +58,15 @@ def json_summary(spark, sf):
     return spark.read.schema("key string, value bigint").json(path)
 
 
-_LINE = "concat_ws('|', " + ", ".join(f"coalesce({c}, '<null>')" for c in CANONICAL_COLUMNS) + ")"
+def _line(columns):
+    fields = ", ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in columns)
+    return f"concat_ws('|', {fields})"
 
 
-@query("s8_fingerprint", O.sql(f"select count(*) as n_rows, sum({O.hash32(_LINE)})::bigint as digest from brands"))
+_LINE = _line(CANONICAL_COLUMNS)
+
+
+@query("s8_fingerprint", O.sql(f"select count(*) as n_rows, sum({O.hash32(_LINE)})::varchar as digest from brands"))
 def fingerprint(spark, sf):
     return quality.fingerprint(brands(spark, sf), CANONICAL_COLUMNS)
 
@@ -70,8 +75,8 @@ _LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
 
 
 @query("s8_fingerprint_by_status", "select l_linestatus, count(*) as n_rows, sum("
-       + O.hash32("concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '<null>')" for c in _LI) + ")")
-       + ")::bigint as digest from lineitem group by l_linestatus")
+       + O.hash32(_line(_LI))
+       + ")::varchar as digest from lineitem group by l_linestatus")
 def fingerprint_lineitem(spark, sf):
     return quality.fingerprint(table(spark, sf, "lineitem"), _LI, ["l_linestatus"])
 

@@ -60,23 +60,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, dealt out to all cores; larger scans stay as they are.
-
-    For sources whose rows cost much work each, like long texts.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def raw_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty brand table with its misspelled country column and a row id."""
     tables = {t: table(spark, sf_dir, t) for t in BRAND_TABLES}
-    return spark.sql(BRANDS_SQL, **{**tables, "part": spread(tables["part"])})
+    return spark.sql(BRANDS_SQL, **tables)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def brands_oracle() -> str:

@@ -10,7 +10,8 @@ from brandlens.functions.text import na_to_null
 def read_brand_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """All-string CSV scan with header, in which the usual NA words are null.
 
-    The column names come from the header alone, so no inference pass over the data runs.
+    The column names come from the first header alone, so no inference pass over the data runs. A
+    file whose header differs, and a line with too few or too many fields, stop the read.
     Quoted newlines need ``multi_line``, which reads each file in one task. Pass False for
     newline-free files, so that big files are split.
     """
@@ -24,7 +25,7 @@ def read_brand_csv(spark: SparkSession, path: str | list[str], multi_line: bool
     if duplicates:
         raise ValueError(f"CSV column names must be unique: {duplicates}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    df = reader.option("header", True).schema(schema).csv(path)
+    df = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").schema(schema).csv(path)
     return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in names])
 
 

@@ -1,28 +1,18 @@
-"""Cutting lineage and checking sizes."""
+"""Cutting lineage with written tables."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-# Rows up to which a keyed helper table may be broadcast or handled by one task.
-SMALL_ROWS = 200_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session without that setting gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
-    return os.path.join(tempfile.gettempdir(), "brandlens-stage")
+    """The folder every executor can reach, as the session names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
+    return folder.rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -34,8 +24,3 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a staged frame has at most that many rows (read from the file footers)."""
-    return df.count() <= rows

@@ -86,6 +86,7 @@ def test_staged_frames_live_in_the_named_folder(spark):
 
 def test_price_rows_refuse_unexpected_labels(spark):
     df = spark.createDataFrame([("средний;чужой",), ("дисконт",)], "price_category string")
-    with pytest.raises(ValueError, match="чужой"):
+    with pytest.raises(ValueError, match="1, listed in") as error:
         prepare.refuse_unexpected_labels(df)
+    assert [r.label for r in spark.read.parquet(str(error.value).split("listed in ")[1]).collect()] == ["чужой"]
     prepare.refuse_unexpected_labels(df.filter("price_category = 'дисконт'"))
