@@ -24,21 +24,20 @@ def confusion_counts(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
-    """All pairs of labels, zero cells included; labels are those of truth and prediction.
+    """The cells of the matrix that are not zero, in order."""
+    return confusion_counts(scored).orderBy("y_true", "y_pred")
 
-    The result has classes squared rows by definition; the classes are those of a model.
-    """
-    counts = confusion_counts(scored)
-    names = counts.select(F.explode(F.array("y_true", "y_pred")).alias("label")).distinct()
-    every = F.lit(names.agg(F.array_sort(F.collect_set("label"))).scalar())
-    cells = names.select(F.col("label").alias("y_true"), F.explode(every).alias("y_pred"))
-    return cells.join(counts, ["y_true", "y_pred"], "left").fillna(0, ["n"]).orderBy("y_true", "y_pred")
 
+def confusion_rows(scored: DataFrame) -> DataFrame:
+    """One row per true class: its rows and hits, and all its predicted classes with their numbers.
 
-def confusion_wide(scored: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """One row per true class, one column per given class."""
-    return (scored.groupBy("y_true").pivot("y_pred", list(classes)).agg(F.count(F.lit(1)))
-            .fillna(0).orderBy("y_true"))
+    A row's list has at most as many entries as there are classes.
+    """
+    cell = F.concat_ws("=", F.col("y_pred"), F.col("n").cast("string"))
+    return (confusion_counts(scored).groupBy("y_true")
+            .agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("n_hits"),
+                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y_pred", cell.alias("cell")))), lambda x: x["cell"]), "; ").alias("predicted"))
+            .orderBy("y_true"))
 
 
 def class_scores(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -26,6 +26,14 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
+def required_columns_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, present, non_null) of each named column; an absent one has no rows filled."""
+    counts = df.agg(*[F.count(c).alias(c) for c in columns if c in df.columns] or [F.count(F.lit(1)).alias("_rows")])
+    lines = [F.struct(F.lit(c).alias("column"), F.lit(int(c in df.columns)).alias("present"),
+                      (F.col(c) if c in df.columns else F.lit(0)).cast("bigint").alias("non_null")) for c in columns]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def fill_feature_columns(df: DataFrame, columns: Sequence[str] = SAFE_FEATURES) -> DataFrame:
     """Add absent feature columns: empty text, unknown country, null number."""
     def default(column: str):

@@ -121,3 +121,11 @@ def choose_strategy(scored: DataFrame, chosen: DataFrame) -> DataFrame:
     # Two rows: the larger macro F1 wins, the optimized one on a tie.
     best = both.agg(F.max_by("strategy", F.struct("macro_f1", "strategy"))).scalar()
     return both.withColumn("selected", (F.col("strategy") == best).cast("int"))
+
+
+def probability_shape(scored: DataFrame) -> DataFrame:
+    """Per label position: rows, probabilities outside 0 to 1 (null included), least and greatest."""
+    p = F.col("p")
+    return (scored.select(F.posexplode("prob").alias("label_idx", "p")).groupBy("label_idx")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(p.isNull() | ~p.between(0, 1)).alias("n_outside"),
+                 F.min("p").alias("least"), F.max("p").alias("most")))

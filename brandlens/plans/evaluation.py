@@ -114,18 +114,27 @@ def six_labels(spark, sf):
 # --- multiclass metrics -----------------------------------------------------
 
 @query("e1_confusion_matrix", O.sql(
-    "select a.l as y_true, b.l as y_pred, count(s.row_id) as n from (select y_true as l from scored_class union select y_pred from scored_class) a "
-    "cross join (select y_true as l from scored_class union select y_pred from scored_class) b "
-    "left join scored_class s on s.y_true = a.l and s.y_pred = b.l group by 1, 2"))
+    "select y_true, y_pred, count(*) as n from scored_class group by 1, 2"))
 def confusion_matrix(spark, sf):
     return M.confusion_matrix(S.scored_class(spark, sf))
 
 
 @query("e1_confusion_wide", O.sql(
-    "select y_true, count(*) filter (y_pred = 'Brand#1') as \"Brand#1\", count(*) filter (y_pred = 'Brand#2') as \"Brand#2\", "
-    "count(*) filter (y_pred = 'Brand#99') as \"Brand#99\" from scored_class group by 1"))
+    "select y_true, sum(n)::bigint as n_rows, (coalesce(sum(n) filter (y_true = y_pred), 0))::bigint as n_hits, "
+    "string_agg(y_pred || '=' || n, '; ' order by y_pred) as predicted "
+    "from (select y_true, y_pred, count(*) as n from scored_class group by 1, 2) group by 1"))
 def confusion_wide(spark, sf):
-    return M.confusion_wide(S.scored_class(spark, sf), ["Brand#1", "Brand#2", "Brand#99"])
+    """A row of the matrix for each true class, over all predicted classes."""
+    return M.confusion_rows(S.scored_class(spark, sf))
+
+
+@query("h6_probability_shape", O.sql(
+    "select label_idx::int as label_idx, count(*) as n_rows, count(*) filter (p is null or not (p between 0 and 1)) as n_outside, "
+    "round(min(p), 6) as least, round(max(p), 6) as most from (select unnest(range(0, 5)) as label_idx, unnest(prob) as p from scored_multi) group by 1"))
+def probability_shape(spark, sf):
+    """One probability between 0 and 1 for each label of each row."""
+    return rounded(H.probability_shape(S.scored_multi(spark, sf)))
+
 
 
 _DOC = "(select doc_id, quality::varchar as y_true, toxic::varchar as y_pred from labels)"

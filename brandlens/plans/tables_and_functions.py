@@ -6,7 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from brandlens.contract import CANONICAL_COLUMNS, KNOWN_PRICE_LABELS, TARGET_COLUMNS
+from brandlens.contract import (
+    CANONICAL_COLUMNS, FORBIDDEN_FEATURES, KNOWN_PRICE_LABELS, REQUIRED_COLUMNS, SAFE_FEATURES, TARGET_COLUMNS, check_feature_contract,
+    label_column,
+)
 from brandlens.functions import labels, numbers, text
 from brandlens.operators import prepare, profile, quality, schema, split
 from brandlens.plans import oracle as O
@@ -265,3 +268,33 @@ def range_filters(spark, sf):
     return prepared(spark, sf).filter(
         F.col("founded").between(1850, 2020) & F.col("plans").between(1, 1000) & F.col("presence_world").between(1, 10000)
         & F.col("price_category").isin("дисконт", "ниже среднего")).select("row_id", "founded", "plans", "presence_world")
+
+
+# --- contracts as tables ----------------------------------------------------
+
+@query("s3_required_columns", O.sql(" union all ".join(
+    f"select '{c}' as \"column\", 1 as present, count({c}) as non_null from brands" for c in REQUIRED_COLUMNS)))
+def required_columns(spark, sf):
+    """Each required column: whether the table has it, and how many rows fill it."""
+    return schema.required_columns_report(brands(spark, sf), REQUIRED_COLUMNS)
+
+
+@query("p7o_feature_contract", O.sql(" union all ".join(
+    f"select '{c}' as \"column\", 'safe' as kind, 1 as present, count({c}) as non_null from prep" for c in SAFE_FEATURES)
+    + " union all " + " union all ".join(f"select '{c}', 'forbidden', 0, 0" for c in FORBIDDEN_FEATURES)))
+def feature_contract(spark, sf):
+    """The model's input holds every safe feature and no forbidden one."""
+    features = prepared(spark, sf).select(*SAFE_FEATURES)
+    check_feature_contract(features.columns)
+    safe = schema.required_columns_report(features, SAFE_FEATURES).withColumn("kind", F.lit("safe"))
+    return safe.unionByName(schema.required_columns_report(features, FORBIDDEN_FEATURES).withColumn("kind", F.lit("forbidden")))
+
+
+@query("f21_label_columns", O.sql(
+    "select label, replace(replace(replace(label, ' / ', '_'), ' ', '_'), '-', '_') as column_name, count(*) as n_rows "
+    f"from (select unnest({O.known_labels('price_category')}) as label from prep) group by 1"))
+def label_columns(spark, sf):
+    """The known labels, their column names, and the rows that have them."""
+    names = F.create_map(*[x for label in KNOWN_PRICE_LABELS for x in (F.lit(label), F.lit(label_column(label)))])
+    found = prepared(spark, sf).select(F.explode(labels.known_labels(F.col("price_category"))).alias("label"))
+    return found.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("column_name", names[F.col("label")])

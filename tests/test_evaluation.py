@@ -17,10 +17,11 @@ def test_multiclass_by_hand(spark):
     assert close(m.macro_precision, 1.5 / 4) and close(m.weighted_f1, (2 * 2 / 3 + 2 / 3) / 4)
 
 
-def test_confusion_matrix_has_zero_cells(spark):
-    df = spark.createDataFrame([("a", "a"), ("b", "c")], "y_true string, y_pred string")
+def test_confusion_cells_and_rows(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "c"), ("b", "c"), ("b", "a")], "y_true string, y_pred string")
     cells = {(r.y_true, r.y_pred): r.n for r in metrics.confusion_matrix(df).collect()}
-    assert len(cells) == 9 and sum(cells.values()) == 2 and cells["c", "a"] == 0
+    assert cells == {("a", "a"): 1, ("b", "c"): 2, ("b", "a"): 1}
+    assert [tuple(r) for r in metrics.confusion_rows(df).collect()] == [("a", 1, 1, "a=1"), ("b", 3, 0, "a=1; c=2")]
 
 
 def test_regression_by_hand(spark):
