@@ -133,22 +133,29 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def bands(rows: DataFrame, widen: float = 4.0, least: float = 0.15) -> DataFrame:
-    """Per language the least and greatest accepted value of each measure, over all rows given."""
+def bands(rows: DataFrame, widen: float = 4.0, least: float = 0.13) -> DataFrame:
+    """Per language and measure the quartiles and the room around them, over all rows given."""
     quartiles = rows.groupBy("lang").agg(*[F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in MEASURES])
     out = [F.col("lang")]
     for m in MEASURES:
         low, mid, high = (F.col(m)[i] for i in range(3))
-        room = F.greatest(widen * (high - low), least * mid, F.lit(0.02))
-        out += [(low - room).alias(f"{m}_least"), (high + room).alias(f"{m}_most")]
+        out += [low.alias(f"{m}_low"), high.alias(f"{m}_high"), F.greatest(widen * (high - low), least * mid, F.lit(0.02)).alias(f"{m}_room")]
     return quartiles.select(*out)
 
 
-def quality_rules(docs: DataFrame, piece_path: str, rank_path: str, pattern: str, widen: float = 4.0, least: float = 0.15) -> DataFrame:
-    """Counts, measures, base_failed and kept of each document (doc_id, text, lang)."""
+def quality_rules(docs: DataFrame, piece_path: str, rank_path: str, pattern: str, widen: float = 4.0, least: float = 0.13,
+                  short: float = 4.0) -> DataFrame:
+    """Counts, measures, base_failed and kept of each document (doc_id, text, lang).
+
+    A band's room grows by `short` over the square root of the number of words, since measures of
+    few words scatter more.
+    """
     rows = staged(measured(docs, piece_path, rank_path, pattern), "fertility").withColumn("base_failed", base_failed())
-    limits = bands(rows.filter(~F.col("base_failed")), widen, least)
-    inside = functools.reduce(lambda a, b: a & b, [F.col(m).between(F.col(f"{m}_least"), F.col(f"{m}_most")) for m in MEASURES])
+    # Written, so that the join knows its size: a few numbers for each language.
+    limits = staged(bands(rows.filter(~F.col("base_failed")), widen, least), "bands")
+    room = 1 + short / F.sqrt(F.greatest("n_words", F.lit(1)))
+    inside = functools.reduce(lambda a, b: a & b, [
+        F.col(m).between(F.col(f"{m}_low") - room * F.col(f"{m}_room"), F.col(f"{m}_high") + room * F.col(f"{m}_room")) for m in MEASURES])
     # A language has a band as soon as one of its documents passes the base.
     return (rows.join(limits, "lang", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
