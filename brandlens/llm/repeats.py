@@ -222,7 +222,9 @@ def _repeated_windows(occurrences: DataFrame) -> DataFrame:
 def removed_spans(texts: DataFrame) -> DataFrame:
     """(_key, _key2, starts): runs of windows that repeat in each text, as (low, high) starts."""
     occurrences = _occurrences(texts)
-    found = occurrences.select("c1", "c2", "_key", "_key2", "start").join(_repeated_windows(occurrences), ["c1", "c2"])
+    # Written, so that the join is free to split a context that occurs very often.
+    windows = staged(_repeated_windows(occurrences), "windows")
+    found = occurrences.select("c1", "c2", "_key", "_key2", "start").join(windows, ["c1", "c2"])
     moved = F.transform("windows", lambda w: F.struct((w["low"] + F.col("start")).alias("low"), (w["high"] + F.col("start")).alias("high")))
     # The contexts of one text: less than its own length.
     return found.groupBy("_key", "_key2").agg(F.flatten(F.collect_list(moved)).alias("starts"))
