@@ -10,7 +10,7 @@ doc_id, shard, row, start, n_tokens, control and data. Rows lie in ascending doc
 by range, rows within a shard in order. The folder must be reachable by all executors.
 
 Cases: null doc_ids come first; a null or empty text has the end id alone; rows with one doc_id
-are ordered by their encoded bytes; an empty table gives an empty file; further columns are
+are ordered by length and checksum; an empty table gives an empty file; further columns are
 ignored. A document of any length is one block.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .packing import END_ID, encoded_parts
-from .shared import partitions
+from .shared import drop_staged, partitions, staged
 
 _BLOCKS = "doc_id long, n_tokens long, control binary, data binary"
 
@@ -82,12 +82,15 @@ def write_token_file(docs: DataFrame, vocabulary: str, path: str, end_id: int =
             blocks = [squeeze(rank_of.value[np.frombuffer(ids, dtype="<u4")]) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_tokens"), pa.array([b[0] for b in blocks], pa.binary()),
-                 pa.array([b[1] for b in blocks], pa.binary())], names=["doc_id", "n_tokens", "control", "data"])
+                 pa.array([b[1] for b in blocks], pa.binary()), pa.array([zlib.crc32(b[1]) for b in blocks], pa.int64())],
+                names=["doc_id", "n_tokens", "control", "data", "crc"])
 
-    # The bytes part rows with one doc_id, so that even such a group is dealt over several tasks.
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("data"), F.crc32("control"), F.col("n_tokens")]
-    blocks = encoded.select("doc_id", "n_tokens", "ids").mapInArrow(shrink, _BLOCKS)
-    dealt = blocks.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    # Written once, so that finding the ranges reads the order's columns only.
+    blocks = staged(encoded.select("doc_id", "n_tokens", "ids").mapInArrow(shrink, f"{_BLOCKS}, crc long"), "blocks", "none")
+    drop_staged(encoded)
+    # The bytes' sum parts rows with one doc_id, so that even such a group is dealt over several tasks.
+    order = [F.col("doc_id").asc_nulls_first(), "n_tokens", "crc"]
+    dealt = blocks.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).drop("crc")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -101,6 +104,7 @@ def write_token_file(docs: DataFrame, vocabulary: str, path: str, end_id: int =
             row, at = row + m, at + int(n.sum())
 
     dealt.mapInArrow(place, f"{_BLOCKS}, shard int, row long, shard_start long").write.option("compression", "none").parquet(f"{path}/blocks")
+    drop_staged(blocks)
 
 
 def _table(spark: SparkSession, path: str, key: str, value: str):
