@@ -12,8 +12,8 @@ for. Classes depend on the size band of the larger set, so a set is indexed for
 a partner may lie. Frequent means that the element's cell of a fixed table of counts over all
 documents holds over twice the mean load; that only steers the order, any order gives all links.
 
-Verification. Equal sets are one node. The members of an index entry are first compared with its
-smallest node only; groups of copies thereby fall into one component each. Then every two nodes
+Verification. Equal sets are one node. A node is first compared with one leader of its index
+entries only; groups of copies thereby fall into few components. Then every two nodes
 that share an entry but not a component are counted over their entries, pairs that cannot reach
 the threshold by length or by the number of shared prefix elements are left out, and the rest are
 compared. No link between components can be missed, links inside a component change nothing.
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
-from .shared import slices, staged, text_column
+from .shared import partitions, slices, staged, text_column
 from .sketches import count_chunks, marked, occurrence_bits, total_counts
 from .text_hash import Stretches, joined, mixed, words
 
@@ -44,6 +44,9 @@ _COUNT_BITS = 20
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _FACTS = "doc_id long, n long, node long, chunk int, counts binary"
 _SALTS = 16
+_PAIRS = "a long, b long, m long, n long, common long"
+# Nodes of a leader that one task compares with as many others.
+_BLOCK_NODES = 1024
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -128,7 +131,7 @@ def index_entries(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(entry, node, size): size is twice the set's size, plus one if its prefix holds frequent elements."""
+    """(entry, node, size, weight): weight is the number of frequent elements of the set."""
     limit = 2 * counts.mean() + 64
     table = docs.sparkSession.sparkContext.broadcast(np.packbits(counts > limit))
 
@@ -136,7 +139,7 @@ def _entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for rows in slices(batch):
-                entries, nodes, sizes = [], [], []
+                entries, nodes, sizes, weights = [], [], [], []
                 for tokens in shingle_sets(text_column(rows)):
                     node = _node(tokens)
                     if node in seen or not len(tokens):
@@ -145,20 +148,23 @@ def _entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(node)
-                    own = index_entries(tokens, marked(table.value, tokens, _COUNT_BITS))
+                    frequent = marked(table.value, tokens, _COUNT_BITS)
+                    own = index_entries(tokens, frequent)
                     entries.append(own)
                     nodes.append(np.full(len(own), node))
-                    sizes.append(np.full(len(own), 2 * len(tokens) + bool((own & np.uint64(1)).any()), dtype=np.int32))
+                    sizes.append(np.full(len(own), len(tokens), dtype=np.int32))
+                    weights.append(np.full(len(own), frequent.sum(), dtype=np.int32))
                 if entries:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(entries).view(np.int64)), pa.array(np.concatenate(nodes).view(np.int64)), pa.array(np.concatenate(sizes))],
-                        names=["entry", "node", "size"])
+                        [pa.array(np.concatenate(entries).view(np.int64)), pa.array(np.concatenate(nodes).view(np.int64)),
+                         pa.array(np.concatenate(sizes)), pa.array(np.concatenate(weights))], names=["entry", "node", "size", "weight"])
 
-    return docs.select("text").mapInArrow(emit, "entry long, node long, size int")
+    return docs.select("text").mapInArrow(emit, "entry long, node long, size int, weight int")
 
 
 def _shared_entries(entries: DataFrame) -> DataFrame:
-    """Entries of two nodes or more, with the leader (smallest node) of each.
+    """Entries of two nodes or more, with the leader of each: the node with most frequent elements,
+    since of a group of edited copies that is one of the least edited.
 
     An entry of frequent elements may be hot: it is dealt over salts, and its salts' leaders meet
     in a second, small step.
@@ -166,47 +172,135 @@ def _shared_entries(entries: DataFrame) -> DataFrame:
     pair = F.col("entry").bitwiseAND(F.lit(1)) == 1
     salted = entries.withColumn("salt", F.when(pair, F.pmod("node", F.lit(_SALTS))).otherwise(F.lit(0)))
     own = Window.partitionBy("entry", "salt")
-    led = salted.withColumn("leader", F.min("node").over(own)).withColumn("last", F.max("node").over(own))
-    return led.filter(pair | (F.col("leader") != F.col("last"))).select("entry", "node", "size", "leader")
+    led = (salted.withColumn("led", F.max(F.struct("weight", "node", "size")).over(own))
+           .withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own)))
+    return led.filter(pair | (F.col("low") != F.col("high"))).select("entry", "node", "size", "led")
 
 
-def _star_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b, common): each node with its entries' leaders, and leaders of salts with the entry's leader."""
-    direct = shared.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    leaders = shared.filter(F.col("entry").bitwiseAND(F.lit(1)) == 1).select("entry", "leader").distinct()
-    upper = leaders.groupBy("entry").agg(F.min("leader").alias("a"), F.count("*").alias("k")).filter("k > 1")
-    second = leaders.join(upper, "entry").select("a", F.col("leader").alias("b"))
-    return direct.unionByName(second).filter("a != b").distinct()
+def _behind(n: Column) -> Column:
+    """Elements of a set of n behind the first u + 1."""
+    return F.ceil(n * 3 / 4) - 1
+
+
+def _may_link(m: Column, n: Column, common: Column) -> Column:
+    """Whether sets of m and n elements with at most so many common entries can reach the threshold.
+
+    Shared elements of the prefix that ends first are counted: rare ones have an entry each, and of
+    a class of frequent ones all but one have at least one; the one is what the class added to the
+    prefix. What lies behind may be shared as a whole.
+    """
+    return (175 * F.least(m, n) >= 75 * (m + n)) & (175 * (common + F.greatest(_behind(m), _behind(n))) >= 75 * (m + n))
+
 
+def _star_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): each node with the leader with which it shares most entries.
 
-def _long_enough(m: Column, n: Column) -> Column:
-    return 175 * F.least(m, n) >= 75 * (m + n)
+    Leaders of salts are compared with their entries' leaders in the same way. Pairs left out here
+    are met later.
+    """
+    direct = shared.select("led", "node", "size")
+    leaders = shared.filter(F.col("entry").bitwiseAND(F.lit(1)) == 1).select("entry", "led").distinct()
+    upper = leaders.groupBy("entry").agg(F.max("led").alias("top"), F.count("*").alias("k")).filter("k > 1").select("entry", "top")
+    second = leaders.join(upper, "entry").select(F.col("top").alias("led"), F.col("led.node").alias("node"), F.col("led.size").alias("size"))
+    counted = direct.unionByName(second).filter("node != led.node").groupBy("led", "node", "size").agg(F.count("*").alias("common"))
+    return (counted.filter(_may_link(F.col("led.size"), F.col("size"), F.col("common")))
+            .groupBy(F.col("node").alias("b")).agg(F.max(F.struct("common", F.col("led.node").alias("a"))).alias("best")).select("best.a", "b"))
 
 
 def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes that share an entry but no component and may reach the threshold."""
+    """Pairs of nodes that share an entry but no component and may reach the threshold.
+
+    Entries with one leader (over all salts) are counted together, since near copies share many of
+    them. A leader's nodes are dealt over blocks of a bounded number, and every two of its blocks
+    meet in one group; a pair leaves it once, unless it cannot reach the threshold even if all its
+    other entries were shared.
+    """
     known = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = known.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("entry")
-    live = staged(known.join(several, "entry", "left_semi").select("entry", "node", "size", "label").distinct(), "open-entries")
-    a, b = live.alias("a"), live.alias("b")
-    n_a, n_b = F.floor(F.col("a.size") / 2), F.floor(F.col("b.size") / 2)
-    met = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-                 & _long_enough(n_a, n_b))
-    pairs = met.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
-        F.first(F.col("a.size")).alias("size_a"), F.first(F.col("b.size")).alias("size_b"), F.count("*").alias("common"))
-    n_a, n_b = F.floor(F.col("size_a") / 2), F.floor(F.col("size_b") / 2)
-    # With rare elements only, all shared prefix elements are counted; what lies behind the prefix that ends first may all be shared.
-    behind = lambda n: F.ceil(n * 3 / 4) - 1
-    enough = 175 * (F.col("common") + F.greatest(behind(n_a), behind(n_b))) >= 75 * (n_a + n_b)
-    frequent = (F.col("size_a") + F.col("size_b")) % 2 + F.col("size_a") % 2 > 0
-    return pairs.filter(frequent | enough).select("a", "b")
+    several = (known.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("led").alias("top"))
+               .filter("low != high").select("entry", F.col("top.node").alias("leader")))
+    rows = staged(known.join(several, "entry").select("leader", "entry", "node", "size", "label").distinct(), "open-rows")
+    most = rows.groupBy("node").agg(F.count("*").alias("most"))
+    parts = rows.groupBy("leader").agg(F.ceil(F.countDistinct("node") / _BLOCK_NODES).alias("parts"))
+    placed = rows.join(most, "node").join(parts, "leader").withColumn("own", F.pmod(F.xxhash64("node"), "parts"))
+    # Each block of a leader meets each other one, and itself, once.
+    dealt = (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+             .repartition(partitions(shared.sparkSession), "leader", "x", "y").sortWithinPartitions("leader", "x", "y", "entry"))
+    counted = (dealt.select("leader", "x", "y", "own", "entry", "node", "size", "label", "most").mapInArrow(_count_pairs, _PAIRS)
+               .groupBy("a", "b", "m", "n").agg(F.sum("common").alias("common")))
+    return counted.filter(_may_link(F.col("m"), F.col("n"), F.col("common"))).select("a", "b")
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each group (leader, x, y) with their numbers of common entries in it."""
+    held: list[np.ndarray] = []
+    names = ["leader", "x", "y", "own", "entry", "node", "size", "label", "most"]
+    for batch in batches:
+        table = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
+        cuts = np.flatnonzero((np.diff(table[:3]) != 0).any(axis=0)) + 1
+        for part in np.split(table, cuts, axis=1):
+            if held and part.shape[1] and (held[0][:3, 0] != part[:3, 0]).any():
+                yield _pairs_of_group(np.concatenate(held, axis=1))
+                held = []
+            if part.shape[1]:
+                held.append(part)
+    if held:
+        yield _pairs_of_group(np.concatenate(held, axis=1))
+
+
+def _pairs_of_group(rows: np.ndarray) -> pa.RecordBatch:
+    """rows: leader, x, y, own block, entry, node, size, label, open entries of the node."""
+    x, y = rows[1, 0], rows[2, 0]
+    nodes, first, at = np.unique(rows[5], return_index=True, return_inverse=True)
+    own, size, label, most = (rows[k][first] for k in (3, 6, 7, 8))
+    here = np.bincount(at, minlength=len(nodes))
+    total: dict[int, int] = {}
+    keys: list[np.ndarray] = []
+    held = 0
+
+    def add() -> None:
+        codes, n = np.unique(np.concatenate(keys), return_counts=True)
+        for code, k in zip(codes.tolist(), n.tolist()):
+            total[code] = total.get(code, 0) + k
+
+    for members in np.split(at, np.flatnonzero(np.diff(rows[4])) + 1):
+        # Nodes in order, one of each label pair; two blocks meet across, a block meets itself.
+        members = np.sort(members)
+        i, j = np.triu_indices(len(members), 1)
+        i, j = members[i], members[j]
+        m, n = size[i], size[j]
+        fit = (label[i] != label[j]) & (175 * np.minimum(m, n) >= 75 * (m + n))
+        if x != y:
+            fit &= own[i] != own[j]
+        i, j, m, n = i[fit], j[fit], m[fit], n[fit]
+        behind = np.maximum(-(-3 * m // 4), -(-3 * n // 4)) - 1
+        fit = 175 * (np.minimum(most[i], most[j]) + behind) >= 75 * (m + n)
+        keys.append(i[fit] * len(nodes) + j[fit])
+        held += len(keys[-1])
+        if held > 2_000_000:
+            add()
+            keys, held = [], 0
+    if keys:
+        add()
+    codes = np.fromiter(total, dtype=np.int64, count=len(total))
+    common = np.fromiter(total.values(), dtype=np.int64, count=len(total))
+    i, j = codes // len(nodes), codes % len(nodes)
+    m, n = size[i], size[j]
+    behind = np.maximum(-(-3 * m // 4), -(-3 * n // 4)) - 1
+    elsewhere = np.minimum(most[i] - here[i], most[j] - here[j])
+    fit = 175 * (common + elsewhere + behind) >= 75 * (m + n)
+    return pa.RecordBatch.from_arrays([pa.array(v[fit]) for v in (nodes[i], nodes[j], m, n, common)], names=["a", "b", "m", "n", "common"])
 
 
 def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those pairs of nodes whose sets are similar enough, by their whole sets."""
-    pairs = staged(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    table = docs.sparkSession.sparkContext.broadcast(occurrence_bits(wanted))
+    """Those pairs (a, b) whose sets are similar enough, by their whole sets.
+
+    The sets of b are sent to a's, over salts so that a node of many pairs is split.
+    """
+    pairs = staged(pairs, "pairs").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(_SALTS)))
+    asked = (pairs.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("role"))
+             .unionByName(pairs.select(F.col("a").alias("node"), "a", "salt", F.lit(0).alias("role")).distinct()))
+    table = docs.sparkSession.sparkContext.broadcast(occurrence_bits(asked.select("node").distinct()))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -223,20 +317,24 @@ def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         sets.append(tokens.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    found = docs.select("text").mapInArrow(emit, "node long, tokens binary").join(wanted, "node", "left_semi")
-    sets = staged(found.dropDuplicates(["node"]), "sets", "none")
+    sets = docs.select("text").mapInArrow(emit, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    rows = sets.join(asked, "node").repartition(partitions(docs.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = np.empty(0, dtype=np.uint64)
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("tokens_a").to_pylist(), batch.column("tokens_b").to_pylist()):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    sides = [sets.select(F.col("node").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in ("a", "b")]
-    return staged(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(compare, "a long, b long"), "links")
+            found: list[tuple[int, int]] = []
+            for a, b, role, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "node", "role", "tokens"))):
+                own = np.frombuffer(tokens, dtype=np.uint64)
+                if role == 0:
+                    head = own
+                    continue
+                both = len(np.intersect1d(head, own, assume_unique=True))
+                if 100 * both >= 75 * (len(head) + len(own) - both):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return staged(rows.select("a", "salt", "role", "node", "tokens").mapInArrow(compare, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -70,6 +70,7 @@ def test_classes_of_edited_copies(llm, monkeypatch, limit):
     """Also with all elements frequent, and with few of them."""
     if limit is not None:
         emit = nd._entries
+        monkeypatch.setattr(nd, "_BLOCK_NODES", 5)
         monkeypatch.setattr(nd, "_entries", lambda docs, counts: emit(docs, np.where(counts > limit, 1 << 40, 0)))
     rows = corpus(3)
     assert found(nd.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string").repartition(4))) == key(brute(rows))
