@@ -2,9 +2,11 @@
 
 Two public vocabularies measure each text word by word: characters per token in both, the share of
 byte-fallback tokens and the entropy of the tokens. A document that passes the base rules is kept
-if every measure lies in its language's band. Bands come from all documents that passed the base:
-quartiles widened by a multiple of their distance, never narrower than a share of the median, so
-that ordinary documents stay and only far outliers go.
+if every measure lies in its language's band. Bands come from all documents that passed the base.
+A mean over n words scatters with 1 / sqrt(n), so a measure's distance from its language's median is
+taken times sqrt(n), and the quartiles of that, widened by a multiple of their distance, are the
+band: narrow for a long text, wide for a short one. The entropy of few words is low as well, so
+its median follows a line in 1 / sqrt(n).
 
 Words are maximal runs without the bytes 0x20 and 0x09 to 0x0D.
 
@@ -133,30 +135,49 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def bands(rows: DataFrame, widen: float = 4.0, least: float = 0.13) -> DataFrame:
-    """Per language and measure the quartiles and the room around them, over all rows given."""
-    quartiles = rows.groupBy("lang").agg(*[F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in MEASURES])
-    out = [F.col("lang")]
-    for m in MEASURES:
-        low, mid, high = (F.col(m)[i] for i in range(3))
-        out += [low.alias(f"{m}_low"), high.alias(f"{m}_high"), F.greatest(widen * (high - low), least * mid, F.lit(0.02)).alias(f"{m}_room")]
-    return quartiles.select(*out)
+def _level(measure: str) -> Column:
+    """A measure without what the length of the text does to its mean."""
+    return F.col(measure) - F.col("slope") / F.sqrt("n_words") if measure == "token_entropy" else F.col(measure)
+
 
+def _scatter(measure: str) -> Column:
+    return (_level(measure) - F.col(f"{measure}_mid")) * F.sqrt("n_words")
 
-def quality_rules(docs: DataFrame, piece_path: str, rank_path: str, pattern: str, widen: float = 4.0, least: float = 0.13,
-                  short: float = 4.0) -> DataFrame:
-    """Counts, measures, base_failed and kept of each document (doc_id, text, lang).
 
-    A band's room grows by `short` over the square root of the number of words, since measures of
-    few words scatter more.
-    """
+def bands(rows: DataFrame, widen: float = 4.0, widen_entropy: float = 5.0) -> DataFrame:
+    """Per language the entropy's slope, and per measure its median and the quartiles and the room
+    of the distance from it times the root of the words, over all rows given."""
+    # Written, so that each join knows its size: a few numbers for each language.
+    near = 1 / F.sqrt("n_words")
+    thirds = staged(rows.groupBy("lang").agg(F.percentile_approx(near, [1 / 3, 2 / 3], 1000).alias("thirds")), "thirds")
+    # A line through the medians of the longest and the shortest third: outliers do not turn it.
+    ends = [[F.percentile_approx(F.when(third, x), 0.5, 1000) for x in (near, F.col("token_entropy"))]
+            for third in (near <= F.col("thirds")[0], near >= F.col("thirds")[1])]
+    slope = F.try_divide(ends[1][1] - ends[0][1], ends[1][0] - ends[0][0])
+    slopes = staged(rows.join(thirds, "lang").groupBy("lang").agg(F.coalesce(slope, F.lit(0.0)).alias("slope")), "slopes")
+    mids = staged(rows.join(slopes, "lang").groupBy("lang", "slope").agg(
+        *[F.percentile_approx(_level(m), 0.5, 1000).alias(f"{m}_mid") for m in MEASURES]), "mids")
+    quartiles = rows.join(mids, "lang").groupBy(*mids.columns).agg(
+        *[F.percentile_approx(_scatter(m), [0.25, 0.75], 1000).alias(m) for m in MEASURES])
+    out = [F.col(c) for c in mids.columns]
+    for m in MEASURES:
+        low, high = F.col(m)[0], F.col(m)[1]
+        out += [low.alias(f"{m}_low"), high.alias(f"{m}_high"), ((widen_entropy if m == "token_entropy" else widen) * (high - low)).alias(f"{m}_room")]
+    return staged(quartiles.select(*out), "bands")
+
+
+def quality_rules(docs: DataFrame, piece_path: str, rank_path: str, pattern: str, widen: float = 4.0,
+                  widen_entropy: float = 5.0) -> DataFrame:
+    """Counts, measures, base_failed and kept of each document (doc_id, text, lang)."""
     rows = staged(measured(docs, piece_path, rank_path, pattern), "fertility").withColumn("base_failed", base_failed())
-    # Written, so that the join knows its size: a few numbers for each language.
-    limits = staged(bands(rows.filter(~F.col("base_failed")), widen, least), "bands")
-    room = 1 + short / F.sqrt(F.greatest("n_words", F.lit(1)))
-    inside = functools.reduce(lambda a, b: a & b, [
-        F.col(m).between(F.col(f"{m}_low") - room * F.col(f"{m}_room"), F.col(f"{m}_high") + room * F.col(f"{m}_room")) for m in MEASURES])
+    limits = bands(rows.filter(~F.col("base_failed")), widen, widen_entropy)
+
+    def inside(m: str) -> Column:
+        # At least 0.02 of the measure itself, where all documents of a language are alike.
+        room = F.greatest(F.col(f"{m}_room"), 0.02 * F.sqrt("n_words"))
+        return _scatter(m).between(F.col(f"{m}_low") - room, F.col(f"{m}_high") + room)
+
     # A language has a band as soon as one of its documents passes the base.
     return (rows.join(limits, "lang", "left")
-            .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
+            .withColumn("kept", ~F.col("base_failed") & F.coalesce(functools.reduce(lambda a, b: a & b, map(inside, MEASURES)), F.lit(True)))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lang", *MEASURES))

@@ -69,6 +69,15 @@ def test_fertility_rejects_outliers_and_keeps_the_rest(llm):
     assert clean and all(r.kept for r in clean)
 
 
+def test_fertility_bands_by_labels(llm):
+    """Few of the labelled bad documents that pass the base are kept, and nearly all good ones."""
+    found = {r.doc_id: r for r in QUERIES["op3_fertility"](llm, "/root/testdata/sf0.1").collect() if not r.base_failed}
+    labels = [(r.quality, found[r.doc_id].kept) for r in llm.read.parquet("/root/testdata/sf0.1/labels.parquet").collect() if r.doc_id in found]
+    kept = {q: [k for x, k in labels if x == q] for q in (0, 1)}
+    assert len(kept[0]) > 200 and np.mean(kept[0]) <= 0.25
+    assert len(kept[1]) > 3000 and np.mean(kept[1]) >= 0.999
+
+
 def test_increasing_subsequence():
     rng = random.Random(2)
     for _ in range(100):
