@@ -1,7 +1,7 @@
 """Queries for feature vectors, training and scoring.
 
-Training queries use one grid point per family, so that they finish on one machine; the full
-grids are the defaults of ``plans.runs.train_run``. Rows are never cut.
+Training queries run the whole candidate lists of ``models.candidates``, and scoring queries the
+winners with their calibrated thresholds. Rows are never cut.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from brandlens.contract import FEATURE_CONTRACT_VERSION, KNOWN_PRICE_LABELS, NUMERIC_FEATURES
 from brandlens.models import candidates as K, features as X, training as T
 from brandlens.models.scoring import score, scoring_summary
-from brandlens.operators.prepare import domain_rows, founded_rows, price_rows
+from brandlens.operators.prepare import domain_rows
 from brandlens.operators.schema import model_input
-from brandlens.functions import labels
 from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, rounded
 from brandlens.sources.staging import staged
@@ -129,6 +128,7 @@ def _light(found, name, point):
 
 
 def light_candidates(max_iter=15, trees=10):
+    """Small lists for tests of the protocol; no query uses them."""
     return {
         "domain": [_light(K.domain_candidates(max_iter=max_iter), "LogisticRegression", {"C": 1.0}),
                    _light(K.domain_candidates(trees), "RandomForest", {"max_depth": 8, "min_leaf": 1})],
@@ -145,51 +145,33 @@ def _board(board):
 @query("m9_m13_domain_leaderboard")
 def domain_leaderboard(spark, sf):
     rows = T.domain_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_domain(rows, light_candidates()["domain"], parallelism=5)["leaderboard"])
+    return _board(T.train_domain(rows, K.domain_candidates(), parallelism=5)["leaderboard"])
 
 
 @query("m10_m13_founded_leaderboard")
 def founded_leaderboard(spark, sf):
     rows = T.founded_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_founded(rows, light_candidates()["founded"], parallelism=5)["leaderboard"])
+    return _board(T.train_founded(rows, K.founded_candidates(), parallelism=5)["leaderboard"])
 
 
 @query("m11_m13_price_leaderboard_h1")
 def price_leaderboard(spark, sf):
     """Leaderboard lines of the price target, with the calibrated thresholds of the winner."""
     rows = T.price_training_rows(staged(prepared(spark, sf)))
-    result = T.train_price(rows, light_candidates()["price_category"], parallelism=5)
+    result = T.train_price(rows, K.price_candidates(), parallelism=5)
     limits = F.array_join(F.array(*[F.lit(str(result["thresholds"][x])) for x in KNOWN_PRICE_LABELS]), ";")
     return _board(result["leaderboard"]).withColumn("thresholds", F.when(F.col("winner") == 1, limits))
 
 
 def fitted_models(spark, sf):
-    """One light model per target, fitted on all its rows."""
+    """The winner of each target, and the price winner's thresholds."""
     rows = staged(prepared(spark, sf))
-    light = light_candidates()
-    domain = staged(model_input(domain_rows(rows), keep=["row_id", "domain"]))
-    indexer = T.StringIndexer(inputCol="domain", outputCol="label", stringOrderType="alphabetAsc").fit(domain)
-    fitted = X.fit_features(domain)
-    vectors = T._all_vectors(fitted, indexer.transform(domain), ["label"])
-    logistic = light["domain"][0]
-    model = T.fit_domain(vectors, logistic["build"], logistic["grid"], 1)[0]
-    back = T.IndexToString(inputCol="prediction", outputCol="pred_domain", labels=list(indexer.labels))
-    models = {"domain": T.PipelineModel([*fitted.stages, model, back])}
-
-    years = staged(model_input(founded_rows(rows), keep=["founded"]))
-    fitted = X.fit_features(years)
-    ridge = light["founded"][0]
-    model = T.fit_founded(T._all_vectors(fitted, years, ["founded"]), ridge["build"], ridge["grid"], 1)[0]
-    back = T.SQLTransformer(statement="SELECT *, expm1(prediction) AS pred_year FROM __THIS__")
-    models["founded"] = T.PipelineModel([*fitted.stages, model, back])
-
-    known = price_rows(rows).withColumn("y", labels.indicators(F.col("labels")))
-    price = staged(model_input(known, keep=["y"]))
-    fitted = X.fit_features(price)
-    logistic = light["price_category"][0]
-    five = T.fit_price(T._all_vectors(fitted, price, ["y"]), logistic["build"], logistic["grid"], 4)[0]
-    models["price_category"] = T.PipelineModel([*fitted.stages, *five])
-    return models, {x: 0.5 for x in KNOWN_PRICE_LABELS}
+    results = {
+        "domain": T.train_domain(T.domain_training_rows(rows), K.domain_candidates(), parallelism=5),
+        "founded": T.train_founded(T.founded_training_rows(rows), K.founded_candidates(), parallelism=5),
+        "price_category": T.train_price(T.price_training_rows(rows), K.price_candidates(), parallelism=5),
+    }
+    return {m: r["pipeline"] for m, r in results.items()}, results["price_category"]["thresholds"]
 
 
 @query("b1_to_b4_scored_brands")
@@ -204,11 +186,6 @@ def scored_brands(spark, sf):
     f"0 as founded_model_used, 0 as price_category_model_used from brands"))
 def summary(spark, sf):
     """Scoring with a domain model only: the other predictions are null."""
-    rows = staged(model_input(domain_rows(prepared(spark, sf)), keep=["row_id", "domain"]))
-    indexer = T.StringIndexer(inputCol="domain", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
-    fitted = X.fit_features(rows)
-    forest = light_candidates(trees=3)["domain"][1]
-    model = T.fit_domain(T._all_vectors(fitted, indexer.transform(rows), ["label"]), forest["build"], forest["grid"], 1)[0]
-    back = T.IndexToString(inputCol="prediction", outputCol="pred_domain", labels=list(indexer.labels))
-    models = {"domain": T.PipelineModel([*fitted.stages, model, back])}
+    rows = T.domain_training_rows(staged(prepared(spark, sf)))
+    models = {"domain": T.train_domain(rows, K.domain_candidates(), parallelism=5)["pipeline"]}
     return scoring_summary(score(brands(spark, sf), models), models)

@@ -1,0 +1,58 @@
+"""Training jobs and queries use the whole candidate lists, and queries score with the winners."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from brandlens.contract import KNOWN_PRICE_LABELS
+from brandlens.models import candidates as K, training as T
+from brandlens.plans import modelling
+from conftest import SF
+
+TARGETS = {"domain": K.domain_candidates, "founded": K.founded_candidates, "price": K.price_candidates}
+
+
+def described(found):
+    """Names, grids and the estimators' settings."""
+    return [(c["name"], c["family"], c["grid"], [settings(c["build"](p, 100)) for p in c["grid"]]) for c in found]
+
+
+def settings(estimator):
+    own = {p.name: v for p, v in estimator.extractParamMap().items() if p.name != "classifier"}
+    return own, settings(estimator.getClassifier()) if estimator.hasParam("classifier") else None
+
+
+LIMITS = dict(zip(KNOWN_PRICE_LABELS, (0.2, 0.3, 0.4, 0.6, 0.7)))
+
+
+@pytest.fixture
+def asked(spark, monkeypatch):
+    """The lists that training is called with; nothing is trained."""
+    asked = {}
+    for target in TARGETS:
+        def train(rows, found, *args, _target=target, **kwargs):
+            asked[_target] = described(found)
+            return {"pipeline": f"winner of {_target}", "leaderboard": spark.range(1).withColumn("winner", F.lit(1)), "thresholds": LIMITS}
+        monkeypatch.setattr(T, f"train_{target}", train)
+        monkeypatch.setattr(T, f"{target}_training_rows", lambda rows: rows)
+    monkeypatch.setattr(modelling, "_board", lambda board: board)
+    return asked
+
+
+def test_scoring_queries_use_trained_winners(spark, asked, monkeypatch):
+    used = []
+    monkeypatch.setattr(modelling, "score", lambda rows, *models: used.append(models) or rows)
+    monkeypatch.setattr(modelling, "scoring_summary", lambda rows, models: rows)
+    modelling.scored_brands(spark, SF)
+    assert asked == {t: described(f()) for t, f in TARGETS.items()}
+    winners = {"domain": "winner of domain", "founded": "winner of founded", "price_category": "winner of price"}
+    asked.clear()
+    modelling.summary(spark, SF)
+    assert asked == {"domain": described(K.domain_candidates())}
+    assert used == [(winners, LIMITS), ({"domain": "winner of domain"},)]
+
+
+@pytest.mark.parametrize("target, run", [("domain", modelling.domain_leaderboard), ("founded", modelling.founded_leaderboard),
+                                         ("price", modelling.price_leaderboard)])
+def test_leaderboards_train_whole_lists(spark, asked, target, run):
+    assert run(spark, SF).filter("winner = 1").count() == 1
+    assert asked == {target: described(TARGETS[target]())}
