@@ -114,9 +114,8 @@ def run_audit(raw: DataFrame, folder: str, fmt: str = "parquet") -> list[str]:
 
 # --- training ---------------------------------------------------------------
 
-def default_candidates(boosting: bool = False) -> dict[str, list[dict]]:
-    return {"domain": K.domain_candidates(boosting=boosting), "founded": K.founded_candidates(boosting=boosting),
-            "price_category": K.price_candidates(boosting=boosting)}
+def default_candidates() -> dict[str, list[dict]]:
+    return {"domain": K.domain_candidates(), "founded": K.founded_candidates(), "price_category": K.price_candidates()}
 
 
 def train_run(raw: DataFrame, folder: str, run_id: str, candidates: Mapping[str, Sequence[dict]] | None = None,

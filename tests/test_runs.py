@@ -115,3 +115,17 @@ def test_audit(spark, raw, tmp_path):
     assert gate.filter("rule = 'canonical_columns'").first().passed == 0
     assert harmonize(raw).columns.count("country_origin") == 1
     assert len(KNOWN_PRICE_LABELS) == 5
+
+
+def test_default_candidates_hold_boosted_trees():
+    found = runs.default_candidates()
+    assert set(found) == {"domain", "founded", "price_category"}
+    assert all("GradientBoosting" in [c["name"] for c in lists] for lists in found.values())
+
+
+@pytest.mark.parametrize("target", [runs.K.domain_candidates, runs.K.founded_candidates, runs.K.price_candidates])
+def test_boosted_trees_fit(spark, target):
+    rows = spark.createDataFrame([(Vectors.dense(float(i % 2), float(i % 5)), float(i % 2)) for i in range(40)], ["features", "label"])
+    boosted = next(c for c in target(rounds=2) if c["family"] == "boosting")
+    predicted = boosted["build"](boosted["grid"][0], 40).fit(rows).transform(rows).collect()
+    assert max(abs(r.prediction - r.label) for r in predicted) < 0.5
