@@ -3,16 +3,21 @@
 A text and a template are aligned on words that occur once in both: the longest increasing
 subsequence of their places gives anchors, and each gap between anchors is aligned in the same
 way, down to gaps without such words, where equal words at either end are matched. The chain of
-matched words is cut where the text leaves a long gap; the piece that matches most of the template
-is the find, and its share of the template's words is the coverage.
+matched words is cut where the text leaves a long gap; a piece that matches enough of the template
+is a find, and its share of the template's words is the coverage.
+
+A licence may stand in a text several times. The template's words are parted at long gaps before
+they are aligned. Where they repeat without such a gap, the stretch around each place of a repeated
+word, up to its next places on both sides, is aligned as well: there the word is an anchor. Of
+finds that overlap, the one that matches most stays; what lies between finds is searched again.
 
 Only words of a template can match, so a text is reduced to those first, and a template is skipped
 if the words it shares with the text cannot reach the least coverage. Both are exact.
 
 Words are runs of letters, digits, - and . inside, in lower case.
 
-Cases: null, empty and very long texts are scanned whole; a text may have several licences, one
-row each; a text without one has no row; repeated rows are found each; an empty table gives no
+Cases: null, empty and very long texts are scanned whole; a text may have several licences and
+one several times, one row each; a text without one has no row; repeated rows are found each; an empty table gives no
 rows; further columns are ignored.
 """
 
@@ -59,6 +64,17 @@ TEMPLATES = {
     "GPL-3.0 notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "MPL-2.0 notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."),
+    "Zlib text": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
 
@@ -115,6 +131,42 @@ class Scanner:
         self.templates = {name: [self.code.setdefault(w, len(self.code)) for w in _WORD.findall(text.lower())] for name, text in templates.items()}
         self.needs = {name: Counter(words) for name, words in self.templates.items()}
 
+    def pieces(self, mine: list[tuple[int, int]], template: list[int], low: int, high: int) -> list[list[int]]:
+        """Finds of one alignment, as indexes into mine (place and word)."""
+        at = [low + i for i, _ in align([w for _, w in mine[low:high]], template)]
+        cuts = [k for k in range(1, len(at)) if mine[at[k]][0] - mine[at[k - 1]][0] > self.most_gap]
+        return [at[a:b] for a, b in zip([0, *cuts], [*cuts, len(at)]) if b - a >= self.least * len(template)]
+
+    def finds(self, mine: list[tuple[int, int]], template: list[int]) -> list[list[int]]:
+        """The places of the matched words of each occurrence, in the order of the text."""
+        needs = Counter(template)
+        cuts = [k for k in range(1, len(mine)) if mine[k][0] - mine[k - 1][0] > self.most_gap]
+        out, todo = [], list(zip([0, *cuts], [*cuts, len(mine)]))
+        while todo:
+            low, high = todo.pop()
+            where: dict[int, list[int]] = {}
+            for i in range(low, high):
+                where.setdefault(mine[i][1], []).append(i)
+            if sum(min(n, len(where.get(w, ()))) for w, n in needs.items()) < self.least * len(template):
+                continue
+            found = self.pieces(mine, template, low, high)
+            again = sorted((len(x), w) for w, x in where.items() if len(x) > 1 and needs[w] == 1)
+            # An occurrence lacks fewer of the template's words than are tried.
+            for _, w in again[:int((1 - self.least) * len(template)) + 1]:
+                ends = [low - 1, *where[w], high]
+                for before, after in zip(ends, ends[2:]):
+                    found += self.pieces(mine, template, before + 1, after)
+            taken: list[list[int]] = []
+            for piece in sorted(found, key=lambda x: (-len(x), x[-1] - x[0], x[0])):
+                k = bisect_left(taken, piece)
+                if (not k or taken[k - 1][-1] < piece[0]) and (k == len(taken) or piece[-1] < taken[k][0]):
+                    taken.insert(k, piece)
+            out += taken
+            if taken:
+                edges = [low - 1, *(e for x in taken for e in (x[0], x[-1])), high]
+                todo += [(a + 1, b) for a, b in zip(edges[::2], edges[1::2])]
+        return [[mine[i][0] for i in piece] for piece in sorted(out)]
+
     def scan(self, text: str) -> list[tuple[str, float, int, int, int, int]]:
         """Licence, coverage, matched words, template words, first and last word of each find."""
         code = self.code
@@ -129,13 +181,8 @@ class Scanner:
                 continue
             own = self.needs[name]
             mine = [(p, w) for p, w in zip(places, words) if w in own]
-            pairs = align([w for _, w in mine], template)
-            where = [mine[i][0] for i, _ in pairs]
-            cuts = [k for k in range(1, len(where)) if where[k] - where[k - 1] > self.most_gap]
-            pieces = [where[a:b] for a, b in zip([0, *cuts], [*cuts, len(where)])]
-            best = max(pieces, key=len)
-            if len(best) >= self.least * len(template):
-                out.append((name, len(best) / len(template), len(best), len(template), best[0], best[-1]))
+            for hit in self.finds(mine, template):
+                out.append((name, len(hit) / len(template), len(hit), len(template), hit[0], hit[-1]))
         return out
 
 

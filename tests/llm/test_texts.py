@@ -116,6 +116,22 @@ def test_licenses_of_documents(llm):
     assert found == {r.doc_id for r in llm.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text rlike '(?i)licen[sc]e'").collect()}
 
 
+def test_repeated_licenses():
+    """Each occurrence is found, also without a gap, with stray words and with changes."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8, 12)
+    places = lambda text, name: [(h[4], h[5]) for h in scanner.scan(text) if h[0] == name]
+    short, mit = "released under the mit license", licenses.TEMPLATES["MIT text"]
+    assert places(f"the, {short}, the, {short}, the", "MIT") == [(1, 5), (7, 11)]
+    assert places(" the ".join([short] * 40), "MIT") == [(6 * k, 6 * k + 4) for k in range(40)]
+    n = len(licenses._WORD.findall(mit))
+    between = " other words" * 30
+    assert places(f"the {mit} the{between} the {mit} the", "MIT text") == [(1, n), (n + 63, 2 * n + 62)]
+    changed = " ".join("changed" if i % 12 == 5 else w for i, w in enumerate(mit.split()))
+    found = places(f"the software {changed} the {mit} copies {changed} the", "MIT text")
+    assert len(found) == 3 and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    assert {h[0] for x in licenses.TEMPLATES.values() for h in scanner.scan(x)} == set(licenses.TEMPLATES)
+
+
 def best_segmentation(word, pieces, byte_score):
     """By plain recursion over all ends."""
     best = [(0.0, 0, 0)]
