@@ -356,9 +356,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the near duplicates of a smaller doc_id; rows without doc_id stay.
+    """docs with the first row of each class: the smallest doc_id, null ones last, then text and key.
 
-    Of rows with one doc_id, all stay or none.
+    Each row is on its own, also one of equal rows or one without doc_id. Rows without words stay.
     """
-    gone = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    # Written once, so that a row has the same key wherever it is read.
+    keyed = staged(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    classes = staged(near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text")).select(
+        F.col("doc_id").alias("key"), F.col("component_id").alias("class")), "classes")
+    doc = F.col("row.doc_id").cast("long")
+    order = keyed.select("key", F.struct(doc.isNull().alias("no_id"), doc.alias("id"), F.xxhash64(F.col("row.text").cast("string")).alias("hash"), "key").alias("order"))
+    # Written, so that the join knows its size: only classes of several rows.
+    firsts = staged(classes.join(order, "key").groupBy("class").agg(F.min("order").alias("first"), F.count("*").alias("k"))
+                    .filter("k > 1").select("class", F.col("first.key").alias("first")), "firsts")
+    gone = classes.join(firsts, "class").filter("key != first").select("key")
+    return keyed.join(gone, "key", "left_anti").select("row.*")

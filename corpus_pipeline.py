@@ -27,7 +27,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest doc_id."""
+    """One document of each class of near duplicates: the row with the smallest doc_id."""
     ship_package(spark)
     return near_duplicates.keep_one(docs)
 

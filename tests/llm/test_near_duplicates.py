@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from brandlens.llm import near_duplicates as nd
+from brandlens.llm import near_duplicates as nd, repeats
 from brandlens.llm.components import components
 from brandlens.llm.queries import QUERIES
 
@@ -100,6 +100,18 @@ def test_odd_rows(odd, none):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "3", "4", "5", "None", "6", "8", "9", "10", "11", "11"])
 
 
+def test_one_row_of_each_class_stays(llm):
+    """Of equal rows, of copies without id and of near copies one keeps its text through the next stage."""
+    one, two, three, own, near = (" ".join(f"{c}{i}" for i in range(150)) for c in "abcde")
+    rows = [(1, one), (1, one), (None, two), (None, two), (None, two), (3, three), (None, three), (4, near), (5, near + " end"), (5, own), (6, None), (6, None)]
+    docs = llm.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, key long").repartition(3)
+    kept = nd.keep_one(docs)
+    assert kept.columns == docs.columns
+    expected = sorted([(1, one), (None, two), (3, three), (4, near), (5, own), (6, None), (6, None)], key=str)
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == expected
+    assert sorted([(r.doc_id, r.text) for r in repeats.deduplicated(kept).collect()], key=str) == expected
+
+
 def test_documents(llm):
     rows = [(r.doc_id, r.text) for r in llm.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert found(QUERIES["op5_near_duplicates"](llm, "/root/testdata/sf0.001")) == key(brute(rows))
