@@ -38,8 +38,8 @@ MIN_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 # A tile has at most so many terms (about) and twice so many sources.
-_TERM_BLOCK = 2048
-_SOURCE_BLOCK = 256
+TERM_BLOCK = 2048
+SOURCE_BLOCK = 256
 _TABLE_BITS = 24
 # Rows of a task's running counts at which equal ones are combined, and at which they are sent.
 _COMBINE_ROWS = 400_000
@@ -220,12 +220,17 @@ def _integral(numerator: str, denominator: str) -> Column:
     return F.expr(f"1 + (cast(({numerator}) + {SMOOTHING} as decimal(19,0)) * cast({SCALE} as decimal(10,0))) div cast({denominator} as decimal(20,0))")
 
 
-def _distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
+def _distances(groups: DataFrame, cells: DataFrame, vocabulary: DataFrame, source_block: int) -> DataFrame:
     """(lang, a, b, value) for each two sources numbers a < b of a language: summed |p - p|."""
-    rest = groups.select("lang", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "number", "source_blocks",
-                         F.lit(None).cast("long").alias("digest"), F.lit(0).alias("sub"), F.col("p_absent").alias("p"))
-    own = cells.select("lang", "blocks", F.pmod(F.xxhash64("digest", "sub"), "blocks").alias("block"), "number", "source_blocks", "digest", "sub", "p")
-    part = F.floor(F.col("number") / _SOURCE_BLOCK)
+    block = F.pmod(F.xxhash64("digest", "sub"), "blocks").alias("block")
+    by_lang = groups.select("lang", "blocks").distinct()
+    sizes = vocabulary.join(by_lang, "lang").groupBy("lang", block).agg(F.count("*").alias("size"))
+    # A row for each source and term block, with the number of the block's terms instead of one.
+    rest = (groups.select("lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "number", "source_blocks", F.col("p_absent").alias("p"))
+            .join(sizes, ["lang", "block"], "left")
+            .select("lang", "block", "number", "source_blocks", F.lit(None).cast("long").alias("digest"), F.coalesce("size", F.lit(0)).cast("int").alias("sub"), "p"))
+    own = cells.select("lang", block, "number", "source_blocks", "digest", "sub", "p")
+    part = F.floor(F.col("number") / source_block)
     tiles = (rest.unionByName(own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("source_blocks") - 1)))
              .withColumns({"i": F.least(part, "other"), "j": F.greatest(part, "other")})
              .select("lang", "block", "i", "j", "number", "digest", "sub", "p"))
@@ -235,16 +240,17 @@ def _distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
         number, digest, sub, p = (np.asarray(group.column(c).combine_chunks().fill_null(0)) for c in ("number", "digest", "sub", "p"))
         absent = np.asarray(group.column("digest").combine_chunks().is_null())
         order = np.argsort(number[absent])
-        sources, base = number[absent][order], p[absent][order]
+        sources, base, size = number[absent][order], p[absent][order], sub[absent].max()
         names = np.rec.fromarrays([digest[~absent], sub[~absent]])
         terms, column = np.unique(names, return_inverse=True)
         table = np.repeat(base[:, None], len(terms), axis=1)
         table[np.searchsorted(sources, number[~absent]), column] = p[~absent]
-        left, right = np.flatnonzero(sources // _SOURCE_BLOCK == i), np.flatnonzero(sources // _SOURCE_BLOCK == j)
+        left, right = np.flatnonzero(sources // source_block == i), np.flatnonzero(sources // source_block == j)
         found = []
         for a in left:
             others = right[right > a]
-            found.append((np.full(len(others), sources[a]), sources[others], np.abs(table[others] - table[a]).sum(axis=1)))
+            unseen = np.abs(base[others] - base[a]) * (size - len(terms))  # terms of neither source block
+            found.append((np.full(len(others), sources[a]), sources[others], np.abs(table[others] - table[a]).sum(axis=1) + unseen))
         a, b, value = (np.concatenate(c).astype(np.int64) for c in zip(*found)) if found else [np.empty(0, dtype=np.int64)] * 3
         return pa.table({"lang": pa.array([lang] * len(a), pa.string()), "a": a, "b": b, "value": value})
 
@@ -253,7 +259,8 @@ def _distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
     return sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
-def divergence(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, most_terms: int = 50, bits: int = 64) -> DataFrame:
+def divergence(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, most_terms: int = 50, bits: int = 64,
+               term_block: int = TERM_BLOCK, source_block: int = SOURCE_BLOCK) -> DataFrame:
     """(lang, source, part, item, value, rank) of the audit over documents (lang, source, text)."""
     documents = _documents(docs)
     vocabulary, counts = kept_terms(documents, min_documents, bits)
@@ -267,10 +274,10 @@ def divergence(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, most_terms:
     weight = f"total + {SMOOTHING} * terms"
     groups = staged(groups.withColumns({
         "p_absent": F.when(F.col("terms") > 0, _integral("0", weight)).otherwise(0),
-        "blocks": F.greatest(F.ceil(F.col("terms") / _TERM_BLOCK), F.lit(1)), "source_blocks": F.ceil(F.col("sources") / _SOURCE_BLOCK)}), "groups")
+        "blocks": F.greatest(F.ceil(F.col("terms") / term_block), F.lit(1)), "source_blocks": F.ceil(F.col("sources") / source_block)}), "groups")
     cells = counts.join(groups, ["lang", "source"]).withColumn("p", _integral("n", weight))
 
-    distances = _distances(groups, cells)
+    distances = _distances(groups, cells, vocabulary, source_block)
     names = groups.select("lang", F.col("number").alias("a"), "source")
     both = distances.unionByName(distances.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     pairs = (both.join(names, ["lang", "a"]).join(names.select("lang", F.col("a").alias("b"), F.col("source").alias("item")), ["lang", "b"])

@@ -131,12 +131,9 @@ def test_divergence(llm, bits):
     assert sorted(tuple(r) for r in found.collect()) == plain_divergence(rows, 12, 4)
 
 
-def test_divergence_tiles(llm, monkeypatch):
-    # Blocks of two sources and five terms.
-    monkeypatch.setattr(divergence, "_SOURCE_BLOCK", 2)
-    monkeypatch.setattr(divergence, "_TERM_BLOCK", 5)
+def test_divergence_tiles(llm):
     rows = divergence_rows()
-    found = divergence.divergence(llm.createDataFrame(rows, "lang string, source string, text string"), min_documents=5)
+    found = divergence.divergence(llm.createDataFrame(rows, "lang string, source string, text string"), min_documents=5, term_block=5, source_block=2)
     assert sorted(tuple(r) for r in found.collect()) == plain_divergence(rows, 5)
 
 
