@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, oracle
-from conftest import SF
+from brand_data import SF
 
 SAMPLE = ["s8_fingerprint", "f2_clean_name", "f8_known_and_unexpected_labels", "p1o_prepared_features", "p3o_domain_rows",
           "a6_variant_examples_j1", "a10_range_quantiles_lineitem", "a11_text_quality", "g1_data_gate", "m5_stratified_holdout",

@@ -13,7 +13,7 @@ from brandlens.plans import runs
 from brandlens.plans.modelling import light_candidates
 from brandlens.sources.brands import raw_brands
 from brandlens.sources.staging import staged
-from conftest import SF
+from brand_data import SF
 
 LENIENT = [(m, k, op, -1e9 if op == ">=" else 1e9) for m, k, op, _ in POLICY]
 

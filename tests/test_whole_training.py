@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from brandlens.contract import KNOWN_PRICE_LABELS
 from brandlens.models import candidates as K, training as T
 from brandlens.plans import modelling
-from conftest import SF
+from brand_data import SF
 
 TARGETS = {"domain": K.domain_candidates, "founded": K.founded_candidates, "price": K.price_candidates}
 
