@@ -56,7 +56,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.cut(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return repeats.cut(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,14 @@
-"""Suffix-array deduplication: remove every byte that lies in a string of 400 bytes which also
-starts elsewhere in the corpus.
+"""Suffix-array deduplication: remove every byte that lies in a string of `length` bytes (400, if
+nothing else is asked for) which also starts elsewhere in the corpus.
 
 A suffix array of everything would have to be one sort of all suffixes. Here anchors bring equal
-strings together: of all 32-byte strings in a window of 400 bytes, the one with the smallest hash
-is the window's anchor, so equal windows have equal anchors at the same place.
+strings together: of all strings of 2/25 of the length (32 bytes) in a window of the length, the one
+with the smallest hash is the window's anchor, so equal windows have equal anchors at the same place.
 
-1. Windows of 160 bytes have anchors as well. The stretches between neighbouring ones of these are
-   counted by hash over all texts; a window of 400 bytes whose own short windows span a stretch
+1. Windows of 2/5 of the length (160 bytes) have anchors as well. The stretches between neighbouring
+   ones of these are counted by hash over all texts; a window whose own short windows span a stretch
    that occurs once cannot repeat.
-2. The remaining windows of an anchor form a context of less than 800 bytes. Equal contexts are
+2. The remaining windows of an anchor form a context of less than twice the length. Equal contexts are
    one, with a count; all windows of a context that occurs twice repeat.
 3. Different contexts of one anchor are sorted: a suffix array by two-stage sorting over blocks of
    contexts, and common prefixes of its neighbours. Anchors with many contexts are dealt over
@@ -17,7 +17,7 @@ is the window's anchor, so equal windows have equal anchors at the same place.
 
 All rows with one text have one result, so a text is named by two hashes of its bytes.
 
-Cases: a null text is empty; texts under 400 bytes are never cut; a repeated row repeats all
+Cases: a null text is empty; texts shorter than the length are never cut; a repeated row repeats all
 windows of its text, so they go in every copy; null ids and further columns do not matter; an
 empty table gives no rows. Texts may have up to 2**28 bytes each, longer ones raise an error.
 """
@@ -37,8 +37,6 @@ from .suffix_sort import repeated_starts
 from .text_hash import Stretches, joined, mixed
 
 LENGTH = 400
-_GRAM = 32
-_SHORT = 160
 _PLACE_BITS = 28
 _LIVE_BITS = 26
 _BLOCK_CONTEXTS = 512
@@ -47,16 +45,17 @@ _WINDOWS = "array<struct<low:int,high:int>>"
 
 
 class Buffer:
-    """Texts in one buffer, with the hashes of all their 32-byte strings."""
+    """Texts in one buffer, with the hashes of all their strings of anchor size."""
 
-    def __init__(self, texts: list[bytes]) -> None:
+    def __init__(self, texts: list[bytes], length: int) -> None:
+        self.length, self.gram, self.short = length, 2 * length // 25, 2 * length // 5
         self.bytes, self.begins = joined(texts)
         if len(self.bytes) >= 1 << _PLACE_BITS:
             raise ValueError("A text has over 2**28 bytes.")
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.begins))
         self.stretches = Stretches(self.bytes)
-        s, m = self.stretches, max(len(self.bytes) - _GRAM + 1, 0)
-        self.grams = mixed((s.sums[_GRAM:] - s.sums[:m]) * s.back[:m])
+        s, m = self.stretches, max(len(self.bytes) - self.gram + 1, 0)
+        self.grams = mixed((s.sums[self.gram:] - s.sums[:m]) * s.back[:m])
 
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """All windows of a length inside a text (by start), and each one's anchor."""
@@ -64,25 +63,25 @@ class Buffer:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         # Smaller hash first, then the place further left: one number for both.
         keys = (self.grams >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | np.arange(len(self.grams), dtype=np.uint64)
-        nearest = (_sliding_least(keys, length - _GRAM + 1) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+        nearest = (_sliding_least(keys, length - self.gram + 1) & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
         window = np.flatnonzero(np.arange(len(nearest)) + length <= self.begins[self.owner[:len(nearest)] + 1] - 1)
         return window, nearest[window]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Where the anchor of the short windows changes (the later window's start), and the hash of
         the stretch from the anchor before over the one after."""
-        window, anchor = self.anchors(_SHORT)
+        window, anchor = self.anchors(self.short)
         moves = np.flatnonzero((np.diff(anchor) != 0) & (np.diff(window) == 1)) + 1
-        return window[moves], self.stretches.hashes(anchor[moves - 1], anchor[moves] + _GRAM)
+        return window[moves], self.stretches.hashes(anchor[moves - 1], anchor[moves] + self.gram)
 
     def contexts(self, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor, first and last start of each run of windows of 400 bytes that may repeat."""
-        window, anchor = self.anchors(LENGTH)
+        """Anchor, first and last start of each run of windows that may repeat."""
+        window, anchor = self.anchors(self.length)
         move, link = self.links()
         dead = move[~marked(live, link, _LIVE_BITS)]
         # A window with a dead stretch between two of its own short windows' anchors cannot repeat.
         edge = np.zeros(len(self.bytes) + 1, dtype=np.int64)
-        np.add.at(edge, np.maximum(dead - (LENGTH - _SHORT), 0), 1)
+        np.add.at(edge, np.maximum(dead - (self.length - self.short), 0), 1)
         np.add.at(edge, dead, -1)
         alive = np.cumsum(edge)[window] == 0
         window, anchor = window[alive], anchor[alive]
@@ -107,42 +106,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """A row's columns as one, its text's bytes, and two hashes that name the text."""
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("_bytes")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), raw)
-    return rows.withColumn("_key", F.xxhash64("_bytes")).withColumn("_key2", F.xxhash64(F.lit(LENGTH), "_bytes"))
+    return rows.withColumn("_key", F.xxhash64("_bytes")).withColumn("_key2", F.xxhash64(F.lit(1), "_bytes"))
 
 
-def _live_hashes(texts: DataFrame) -> np.ndarray:
+def _live_hashes(texts: DataFrame, length: int) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "_bytes"):
-                found = Buffer(rows.column("_bytes").to_pylist()).links()[1]
+                found = Buffer(rows.column("_bytes").to_pylist(), length).links()[1]
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
 
     hashes = texts.select("_bytes").mapInArrow(emit, "hash long")
     return occurrence_bits(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), _LIVE_BITS)
 
 
-def _occurrences(texts: DataFrame) -> DataFrame:
+def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     """Contexts where they occur: anchor, two hashes of the context, text, start, number of rows, bytes.
 
     A task sends the bytes of a context once.
     """
-    table = texts.sparkSession.sparkContext.broadcast(_live_hashes(texts))
+    table = texts.sparkSession.sparkContext.broadcast(_live_hashes(texts, length))
     names = ["anchor", "c1", "c2", "_key", "_key2", "start", "context"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
             for rows in slices(batch, "_bytes"):
-                buffer = Buffer(rows.column("_bytes").to_pylist())
+                buffer = Buffer(rows.column("_bytes").to_pylist(), length)
                 anchor, low, high = buffer.contexts(table.value)
-                first = buffer.stretches.hashes(low, high + LENGTH)
+                first = buffer.stretches.hashes(low, high + length)
                 # The anchor's place in the context is part of its name.
-                second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + _GRAM))
+                second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + buffer.gram))
                 data, out = buffer.bytes.tobytes(), []
                 for name, begin, end in zip(second.tolist(), low.tolist(), high.tolist()):
                     if len(sent) >= 200_000:
                         sent.clear()
-                    out.append(None if name in sent else data[begin:end + LENGTH])
+                    out.append(None if name in sent else data[begin:end + length])
                     sent.add(name)
                 text = buffer.owner[low]
                 keys = [rows.column(k).take(pa.array(text)) for k in ("_key", "_key2")]
@@ -161,7 +160,7 @@ def _runs(flags: np.ndarray) -> list[dict[str, int]]:
     return [{"low": int(a), "high": int(b) - 1} for a, b in zip(np.flatnonzero(change == 1), np.flatnonzero(change == -1))]
 
 
-def _sorted_blocks(contexts: DataFrame) -> DataFrame:
+def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
     """Per context its windows that repeat in its block, and the others' (and first ones') hashes if
     the anchor has several blocks."""
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,14 +168,14 @@ def _sorted_blocks(contexts: DataFrame) -> DataFrame:
         size = 0
 
         def flush() -> pa.RecordBatch:
-            states = repeated_starts([x[2] for x in held], LENGTH)
+            states = repeated_starts([x[2] for x in held], length)
             windows, firsts, others = [], [], []
             for (_, _, context, blocks, _), state in zip(held, states):
                 windows.append(_runs(state > 0))
                 if blocks > 1:
                     places = np.flatnonzero(state != 1)
                     buffer = np.frombuffer(context, dtype=np.uint8)
-                    hashes = Stretches(buffer).hashes(places, places + LENGTH).view(np.int64)
+                    hashes = Stretches(buffer).hashes(places, places + length).view(np.int64)
                     others.append([{"hash": int(h), "at": int(p), "new": bool(state[p] == 0)} for h, p in zip(hashes, places)])
                 else:
                     others.append([])
@@ -202,13 +201,13 @@ def _sorted_blocks(contexts: DataFrame) -> DataFrame:
         sort, f"c1 long, c2 long, windows {_WINDOWS}, others array<struct<hash:long,at:int,new:boolean>>")
 
 
-def _repeated_windows(occurrences: DataFrame) -> DataFrame:
+def _repeated_windows(occurrences: DataFrame, length: int) -> DataFrame:
     """(c1, c2, windows): which windows of each distinct context repeat, as runs of starts."""
     distinct = staged(occurrences.groupBy("anchor", "c1", "c2").agg(
-        F.sum("n").alias("n"), F.max("context").alias("context")).withColumn("last", F.length("context") - LENGTH), "contexts")
+        F.sum("n").alias("n"), F.max("context").alias("context")).withColumn("last", F.length("context") - length), "contexts")
     kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     several = (distinct.join(kinds, "anchor").withColumn("blocks", F.ceil(F.col("kinds") / _BLOCK_CONTEXTS)))
-    blocks = staged(_sorted_blocks(several), "blocks")
+    blocks = staged(_sorted_blocks(several, length), "blocks")
     within = blocks.select("c1", "c2", F.explode("windows").alias("w")).select("c1", "c2", "w.low", "w.high")
     # Only of anchors with several blocks; equal windows meet by hash, and spread over all tasks.
     apart = blocks.select("c1", "c2", F.explode("others").alias("o")).select("c1", "c2", "o.hash", "o.at", "o.new")
@@ -219,25 +218,25 @@ def _repeated_windows(occurrences: DataFrame) -> DataFrame:
     return runs.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("windows"))
 
 
-def removed_spans(texts: DataFrame) -> DataFrame:
+def removed_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(_key, _key2, starts): runs of windows that repeat in each text, as (low, high) starts."""
-    occurrences = _occurrences(texts)
+    occurrences = _occurrences(texts, length)
     # Written, so that the join is free to split a context that occurs very often.
-    windows = staged(_repeated_windows(occurrences), "windows")
+    windows = staged(_repeated_windows(occurrences, length), "windows")
     found = occurrences.select("c1", "c2", "_key", "_key2", "start").join(windows, ["c1", "c2"])
     moved = F.transform("windows", lambda w: F.struct((w["low"] + F.col("start")).alias("low"), (w["high"] + F.col("start")).alias("high")))
     # The contexts of one text: less than its own length.
     return found.groupBy("_key", "_key2").agg(F.flatten(F.collect_list(moved)).alias("starts"))
 
 
-def cut(docs: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (what remains, without parts
     of characters); columns of these names are replaced."""
     added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(n, T.StringType()) for n in ("kept_sha256", "kept_text")]
     docs = docs.drop(*[f.name for f in added])
     texts = _keyed(docs)
     schema = T.StructType([*docs.schema, *added])
-    joined_rows = texts.join(removed_spans(texts), ["_key", "_key2"], "left").select("_row", "starts")
+    joined_rows = texts.join(removed_spans(texts, length), ["_key", "_key2"], "left").select("_row", "starts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +247,7 @@ def cut(docs: DataFrame) -> DataFrame:
                 if windows:
                     edge = np.zeros(len(text) + 1, dtype=np.int64)
                     np.add.at(edge, [w["low"] for w in windows], 1)
-                    np.add.at(edge, [w["high"] + LENGTH for w in windows], -1)
+                    np.add.at(edge, [w["high"] + length for w in windows], -1)
                     gone = np.cumsum(edge)[:-1] > 0
                     n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
@@ -261,11 +260,11 @@ def cut(docs: DataFrame) -> DataFrame:
     return joined_rows.mapInArrow(apply, schema)
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with the repeated strings cut out of their texts.
 
     A cut may part a character's bytes; the rest of such a character goes as well. All rows stay.
     """
-    rows = cut(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    rows = cut(docs.select(F.struct(*docs.columns).alias("row"), "text"), length)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text")).alias("text")
     return rows.select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -10,16 +10,16 @@ from brandlens.llm import repeats, suffix_sort
 from brandlens.llm.queries import QUERIES
 
 
-def brute(texts):
+def brute(texts, size=400):
     """Per text: bytes, removed, spans, digest."""
     raw = [(t or "").encode() for t in texts]
-    seen = Counter(b[i:i + 400] for b in raw for i in range(len(b) - 399))
+    seen = Counter(b[i:i + size] for b in raw for i in range(len(b) - size + 1))
     out = []
     for b in raw:
         gone = np.zeros(len(b), dtype=bool)
-        for i in range(len(b) - 399):
-            if seen[b[i:i + 400]] > 1:
-                gone[i:i + 400] = True
+        for i in range(len(b) - size + 1):
+            if seen[b[i:i + size]] > 1:
+                gone[i:i + size] = True
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
         out.append((len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
     return out
@@ -68,6 +68,13 @@ def test_cut(llm, monkeypatch, block):
         (str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows])))
 
 
+@pytest.mark.parametrize("size", [240, 120])
+def test_other_lengths(llm, size):
+    rows = corpus(3)
+    assert found(repeats.cut(llm.createDataFrame(rows, "doc_id long, text string").repartition(3), size)) == sorted(
+        (str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows], size)))
+
+
 def test_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert found(repeats.cut(odd)) == sorted((str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows])))
