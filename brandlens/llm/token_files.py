@@ -6,7 +6,7 @@ share a control byte. Control bytes lie apart from the data bytes, so that a blo
 table lookups in numpy and no loop over ids.
 
 A file is a folder: `ranks` holds (rank, id), `blocks` holds one row for each document with
-doc_id, shard, row, start, n_tokens, control and data. Rows lie in ascending doc_id order: shards
+doc_id, shard, row, n_tokens, control and data. Rows lie in ascending doc_id order: shards
 by range, rows within a shard in order. The folder must be reachable by all executors.
 
 Cases: null doc_ids come first; a null or empty text has the end id alone; rows with one doc_id
@@ -91,19 +91,10 @@ def write_token_file(docs: DataFrame, vocabulary: str, path: str, end_id: int =
     # The bytes' sum parts rows with one doc_id, so that even such a group is dealt over several tasks.
     order = [F.col("doc_id").asc_nulls_first(), "n_tokens", "crc"]
     dealt = blocks.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).drop("crc")
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard, row, at = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            n, m = np.asarray(batch.column("n_tokens")), batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(m, shard), pa.int32()), pa.array(row + np.arange(m)),
-                 pa.array(at + np.cumsum(n) - n)], names=[*batch.schema.names, "shard", "row", "shard_start"])
-            row, at = row + m, at + int(n.sum())
-
-    dealt.mapInArrow(place, f"{_BLOCKS}, shard int, row long, shard_start long").write.option("compression", "none").parquet(f"{path}/blocks")
+    # An identifier's upper bits are the partition, its lower 33 the row in it.
+    at = F.monotonically_increasing_id()
+    placed = dealt.withColumns({"shard": F.shiftright(at, 33).cast("int"), "row": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    placed.write.option("compression", "none").parquet(f"{path}/blocks")
     drop_staged(blocks)
 
 
@@ -119,21 +110,21 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = True) -> Da
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if wanted, ids."""
     id_of = _table(spark, path, "rank", "id")
     blocks = spark.read.parquet(f"{path}/blocks")
-    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each shard that was written.
-    offsets = totals.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("shard_offset"))
-    placed = blocks.join(F.broadcast(offsets), "shard").withColumn("start", F.col("shard_offset") + F.col("shard_start"))
-
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column("n_tokens").to_pylist()
             found = [id_of.value[unsqueeze(c, d, k)] for c, d, k in zip(batch.column("control").to_pylist(), batch.column("data").to_pylist(), n)]
-            columns = [batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array([zlib.crc32(x.tobytes()) for x in found], pa.int64())]
-            names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+            names = ["doc_id", "shard", "row", "n_tokens", "ids_crc32"]
+            columns = [*(batch.column(c) for c in names[:4]), pa.array([zlib.crc32(x.tobytes()) for x in found], pa.int64())]
             if with_ids:
                 columns.append(pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * with_ids)
 
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return placed.select("doc_id", "start", "n_tokens", "control", "data").mapInArrow(decode, schema)
+    schema = "doc_id long, shard int, row long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    read = blocks.select("doc_id", "shard", "row", "n_tokens", "control", "data").mapInArrow(decode, schema)
+    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
+    # One row for each shard that was written.
+    offsets = totals.select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("shard").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("offset") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
+    return read.join(F.broadcast(offsets), "shard").select("doc_id", start.alias("start"), *[c for c in read.columns if c not in ("doc_id", "shard", "row")])

@@ -38,7 +38,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # A text with an added token of the vocabulary goes whole.
+        added = [rf"\Q{t.content}\E" for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([_WHOLE, *added])
         self.lower = self.tokenizer.normalizer is not None
         self.byte_characters = _byte_characters()
         self.known: dict[str, bytes] = {}
@@ -78,7 +80,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row and the number of ids of each text; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = np.asarray(pc.match_substring_regex(texts, _WHOLE)) | (np.asarray(pc.binary_length(texts)) == 0)
+        whole = np.asarray(pc.match_substring_regex(texts, self.whole)) | (np.asarray(pc.binary_length(texts)) == 0)
         cut = texts.filter(pa.array(~whole))
         # Every unit but a text's first begins with its space or line feed.
         units = pc.split_pattern(pc.replace_substring(cut, "\n", " \n"), " ")

@@ -13,13 +13,12 @@ from brandlens.llm.shared import new_path
 from brandlens.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
-TEXTS = ["", None, "a b", "  x", "x  y", "a\n\n\nb", "a\tb", "end ", "\n", "<|endoftext|> hi", "Ça İst ſ ﬁ été’s it's 12.5, $.x ²", "ab.\nCd, ef", "Σας ΣΑΣ A. ,b",
+TEXTS = ["", None, "a b", "  x", "x  y", "a\n\n\nb", "a\tb", "end ", "\n", "<|endoftext|> hi", "a<|startoftext|>b <|ENDOFTEXT|>", "Ça İst ſ ﬁ été’s it's 12.5, $.x ²", "ab.\nCd, ef", "Σας ΣΑΣ A. ,b",
          "日本 語\nß ÿ µ ªº", "I'm. 'll.", "a.b, c,. d..", "\x1c a\x85b", "don't, ’s 's", "£ 5 €\nx", "é ü, á.", "x" * 5000 + " y"]
 
 
 def plain(path, texts):
     tool = Tokenizer.from_file(path)
-    tool.encode_special_tokens = True
     return [tool.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
