@@ -14,6 +14,10 @@ from brandlens.llm.queries import LANGUAGE_WEIGHTS, language_labels
 from brandlens.llm.shared import new_path, ship_package
 
 
+# Bytes from which a string that occurs elsewhere is cut: below the length of passages of over 50 words.
+REPEAT_BYTES = 240
+
+
 def _as_row(docs: DataFrame) -> DataFrame:
     """All columns as one, beside those that an operator reads, so that no name can clash."""
     return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
@@ -33,9 +37,9 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without strings of 400 bytes that occur elsewhere; n_chars follows the text."""
+    """Documents without strings of REPEAT_BYTES that occur elsewhere; n_chars follows the text."""
     ship_package(spark)
-    cut = repeats.deduplicated(docs)
+    cut = repeats.deduplicated(docs, REPEAT_BYTES)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
 
 
