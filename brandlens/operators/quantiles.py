@@ -1,8 +1,12 @@
-"""Exact linear-interpolated quantiles that no single task has to hold."""
+"""Exact linear-interpolated quantiles by selection.
+
+Values are counted by the leading digits of a number that grows with them. Only the digits that
+hold a wanted rank are counted again by their next digits, until few distinct values are left; those
+are sorted. No step sorts the table, and no table that grows with it is broadcast.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -11,6 +15,9 @@ from brandlens.sources.staging import staged
 
 # Distinct values that one task sorts.
 RANGE_ROWS = 50_000
+# Buckets to a power of e in the first step, and of a bucket in each further one.
+_FIRST_STEPS = 64
+_NEXT_STEPS = 1024
 
 
 def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
@@ -28,59 +35,61 @@ def value_frequencies(df: DataFrame, columns: Mapping[str, Column], keys: Sequen
     return staged(counted)
 
 
+def _holding(counts: DataFrame, probs: Sequence[float], keys: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """The rows of (keys, path, bucket, rows, ...) that hold a wanted rank, with ``start``, the rows
+    before them, and ``ranks``. The first step finds each key's ``total`` as well."""
+    if "total" not in counts.columns:
+        counts = counts.withColumns({"total": F.sum("rows").over(Window.partitionBy(*keys)), "before": F.lit(0)})
+    earlier = Window.partitionBy(*keys, *within).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Zero-based ranks below and above every quantile position.
+    ranks = [f((F.col("total") - 1) * F.lit(float(p))).cast("bigint") for p in probs for f in (F.floor, F.ceil)]
+    here = (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("rows"))
+    placed = counts.withColumn("start", F.col("before") + F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    return (placed.withColumn("rank", F.explode(F.array_distinct(F.array(*ranks)))).filter(here)
+            .groupBy(*keys, *within, "bucket", "start", "total", "distinct", "low", "high").agg(F.collect_list("rank").alias("ranks")))
+
+
 def exact_quantiles(freq: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("column",),
                     range_rows: int = RANGE_ROWS) -> DataFrame:
     """(keys, q): quantiles of ``value`` weighted by ``n``, as an array in the order of ``probs``.
 
-    ``freq`` is a staged value table whose keys are few (columns, folds). Values are cut into
-    ranges, whose number grows with the table, and only the ranges that hold a wanted rank are
-    sorted. Approximate cuts only decide the ranges, never the result.
+    ``freq`` is a staged value table (one row for each value of a key) whose keys are few (columns,
+    folds). A task sorts at most about ``range_rows`` values of a key.
     """
-    values = freq.filter(F.col("value").isNotNull())
-    # Blocks of as many ranges each; the count comes from the staged files' footers.
-    block_size = max(4, math.isqrt(-(-freq.count() // range_rows)) + 1)
-    n_ranges = block_size * block_size
     keys = list(keys)
-    # Cuts split the distinct values into ranges of about equal length.
-    steps = [i / n_ranges for i in range(1, n_ranges)]
-    per_key = values.groupBy(*keys).agg(
-        F.percentile_approx("value", steps, F.lit(10 * n_ranges)).alias("cuts"),
-        F.sum("n").alias("total"),
-    )
-    # Zero-based ranks below and above every quantile position.
-    position = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
-    per_key = per_key.withColumn(
-        "ranks",
-        F.array_distinct(F.array(*[f(x).cast("bigint") for x in position for f in (F.floor, F.ceil)])),
-    )
-    # The number of cuts below a value, found by block and then inside the block.
-    per_key = per_key.withColumn("blocks", F.transform(F.sequence(F.lit(1), F.lit(block_size - 1)), lambda i: F.get("cuts", i * block_size - 1)))
-    block = F.size(F.filter("blocks", lambda x: x < F.col("value"))) * block_size
-    in_block = F.size(F.filter(F.slice("cuts", F.col("block") + 1, F.lit(block_size - 1)), lambda x: x < F.col("value")))
-    ranged = (values.join(F.broadcast(per_key), keys).withColumn("block", block)
-              .withColumn("range", F.col("block") + in_block).select(*keys, "range", "value", "n", "ranks"))
-
-    # A row for each range and key.
-    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy(*keys, "range").agg(F.sum("n").alias("rows"), F.first("ranks").alias("ranks"))
-              .withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-              .filter(F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("rows"))))
-              .select(*keys, "range", "start"))
-
-    inside = (Window.partitionBy(*keys, "range").orderBy("value")
+    measures = [F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"), F.min("value").alias("low"), F.max("value").alias("high")]
+    v = F.col("value")
+    # log1p never falls while its argument grows, so neither does a bucket's number.
+    first = F.rint(F.signum(v) * F.log1p(F.abs(v)) * _FIRST_STEPS)
+    values = freq.filter(v.isNotNull()).select(*keys, "value", "n", first.alias("bucket"))
+    # A few rows for each key: at most two buckets for each quantile.
+    wanted = staged(_holding(values.groupBy(*keys, "bucket").agg(*measures), probs, keys, []))
+    path: list[str] = []
+    while (wanted.agg(F.max("distinct")).first()[0] or 0) > range_rows:
+        path.append(f"step{len(path)}")
+        parents = wanted.withColumnRenamed("bucket", path[-1]).withColumnRenamed("start", "before").drop("distinct", "ranks")
+        inside = values.withColumnRenamed("bucket", path[-1]).join(F.broadcast(parents), [*keys, *path])
+        # Halves, so that a range over all doubles has a width.
+        width = F.col("high") / 2 - F.col("low") / 2
+        place = F.when(width > 0, F.rint((v / 2 - F.col("low") / 2) / width * _NEXT_STEPS)).otherwise(0.0)
+        inside = inside.withColumn("bucket", place)
+        counts = inside.groupBy(*keys, *path, "bucket", "total", "before").agg(*measures)
+        wanted = staged(_holding(counts, probs, keys, path))
+        values = staged(inside.select(*keys, *path, "value", "n", "bucket").join(F.broadcast(wanted.select(*keys, *path, "bucket")), [*keys, *path, "bucket"]))
+
+    inside = (Window.partitionBy(*keys, *path, "bucket").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (ranged.join(F.broadcast(starts), [*keys, "range"])
+    hits = (values.join(F.broadcast(wanted.select(*keys, *path, "bucket", "start", "total", "ranks")), [*keys, *path, "bucket"])
             .withColumn("end", F.col("start") + F.sum("n").over(inside))
-            .withColumn("hit", F.filter("ranks", lambda r: (r >= F.col("end") - F.col("n")) & (r < F.col("end"))))
-            .select(*keys, F.explode("hit").alias("rank"), "value"))
-    found = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+            .withColumn("rank", F.explode("ranks")).filter((F.col("rank") >= F.col("end") - F.col("n")) & (F.col("rank") < F.col("end"))))
+    found = hits.groupBy(*keys, "total").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
 
-    def interpolated(x: Column) -> Column:
+    def interpolated(p: float) -> Column:
+        x = (F.col("total") - 1) * F.lit(float(p))
         low, high = F.floor(x).cast("bigint"), F.ceil(x).cast("bigint")
         return F.col("at")[low] + (F.col("at")[high] - F.col("at")[low]) * (x - low)
 
-    return (found.join(F.broadcast(per_key.select(*keys, "total")), keys)
-            .select(*keys, F.array(*[interpolated(x) for x in position]).alias("q")))
+    return found.select(*keys, F.array(*[interpolated(p) for p in probs]).alias("q"))
 
 
 def summarize(freq: DataFrame, statistics: Sequence[Column], probs: Sequence[float],
