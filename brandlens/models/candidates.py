@@ -2,7 +2,8 @@
 
 A candidate is a dict: name, family, grid (list of parameter dicts) and build, a function from
 (parameters, training rows) to an unfitted Spark ML estimator on ``features``. Regularization is
-scaled so that it means the same as a penalty on the summed loss.
+scaled so that it means the same as a penalty on the summed loss. A candidate may have fit_all, a
+function from (rows, grid) to all models at once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
 from brandlens.contract import SEED
+from brandlens.models import ridge as ridge_solver
 
 # Spark's deepest tree; stands for "no depth limit".
 UNLIMITED_DEPTH = 30
@@ -25,8 +27,8 @@ def grid(**options) -> list[dict]:
     return [dict(zip(options, values)) for values in product(*options.values())]
 
 
-def candidate(name: str, family: str, build, grid: list[dict]) -> dict:
-    return {"name": name, "family": family, "build": build, "grid": grid}
+def candidate(name: str, family: str, build, grid: list[dict], fit_all=None) -> dict:
+    return {"name": name, "family": family, "build": build, "grid": grid, "fit_all": fit_all}
 
 
 def domain_candidates(trees: int = 400, max_iter: int = 3000, boosting: bool = True, rounds: int = 300) -> list[dict]:
@@ -56,6 +58,12 @@ def domain_candidates(trees: int = 400, max_iter: int = 3000, boosting: bool = T
 
 def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = True, rounds: int = 300) -> list[dict]:
     """Regression on log1p of the year, in ``label``."""
+    def ridges(rows, params):
+        if len(rows.first()["features"]) > ridge_solver.MOST_COLUMNS:
+            n = rows.count()
+            return [ridge(p, n).fit(rows) for p in params]
+        return ridge_solver.fit(rows, [p["alpha"] for p in params])
+
     def ridge(p, n):
         return LinearRegression(regParam=p["alpha"] / n, elasticNetParam=0.0, standardization=False, solver="l-bfgs",
                                 maxIter=max_iter, labelCol="label")
@@ -70,7 +78,7 @@ def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = T
                             featureSubsetStrategy="0.9", seed=SEED, labelCol="label")
 
     found = [
-        candidate("Ridge", "linear", ridge, grid(alpha=[0.3, 1.0, 3.0])),
+        candidate("Ridge", "linear", ridge, grid(alpha=[0.3, 1.0, 3.0]), ridges),
         candidate("RandomForest", "bagging", forest, grid(max_depth=[None, 12], min_leaf=[1, 2])),
     ]
     if boosting:

@@ -6,15 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from brandlens.contract import FEATURE_CONTRACT_VERSION, KNOWN_PRICE_LABELS, UNKNOWN_DOMAIN
+from brandlens.contract import FEATURE_CONTRACT_VERSION, KNOWN_PRICE_LABELS, MODELS, UNKNOWN_DOMAIN
 from brandlens.functions.labels import indicators_text
 from brandlens.functions.numbers import clip, round_half_even
 from brandlens.operators.checks import FLAG_COLUMNS, PREDICTION_COLUMNS, PROBABILITY_COLUMNS
+from brandlens.operators.literal import literal_rows
 from brandlens.operators.prepare import prepare_features
 from brandlens.operators.schema import model_input
 from brandlens.operators.thresholds import check_thresholds, decide
+from brandlens.sources.csv_files import write_table
 
 N = len(KNOWN_PRICE_LABELS)
 
@@ -90,8 +92,13 @@ def score_cascaded(raw: DataFrame, models: Mapping[str, PipelineModel], threshol
     return finish(add_price(df, models.get("price_category"), thresholds))
 
 
-def scoring_summary(result: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """One row: rows scored, feature contract, and which models took part."""
-    return result.agg(
-        F.count(F.lit(1)).alias("rows_scored"), F.lit(FEATURE_CONTRACT_VERSION).alias("feature_contract_version"),
-        *[F.lit(int(models.get(m) is not None)).alias(f"{m}_model_used") for m in ("domain", "founded", "price_category")])
+def write_scored(result: DataFrame, models: Mapping[str, PipelineModel], path: str, fmt: str = "parquet") -> DataFrame:
+    """Write a scoring and return its one-row summary: rows, feature contract, models that took part.
+
+    Rows are counted by the pass that writes them, so nothing is scored or read twice.
+    """
+    seen = Observation()
+    write_table(result.observe(seen, F.count(F.lit(1)).alias("rows_scored")), path, fmt)
+    flags = {f"{m}_model_used": int(models.get(m) is not None) for m in MODELS}
+    return literal_rows(result.sparkSession, ["rows_scored", "feature_contract_version", *flags],
+                        [(seen.get["rows_scored"], FEATURE_CONTRACT_VERSION, *flags.values())]).withColumn("rows_scored", F.col("rows_scored").cast("bigint"))

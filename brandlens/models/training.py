@@ -94,13 +94,15 @@ def fit_domain(rows: DataFrame, build: Callable, params: Sequence[dict], paralle
     return _fit_all(balanced(rows, "label"), build, params, parallelism)
 
 
-def fit_founded(rows: DataFrame, build: Callable, params: Sequence[dict], parallelism: int) -> list[Model]:
-    return _fit_all(rows.withColumn("label", F.log1p("founded")), build, params, parallelism)
+def fit_founded(rows: DataFrame, build: Callable, params: Sequence[dict], parallelism: int, fit_all: Callable | None = None) -> list[Model]:
+    return _fit_all(rows.withColumn("label", F.log1p("founded")), build, params, parallelism, fit_all)
 
 
-def _fit_all(rows: DataFrame, build: Callable, params: Sequence[dict], parallelism: int) -> list[Model]:
+def _fit_all(rows: DataFrame, build: Callable, params: Sequence[dict], parallelism: int, fit_all: Callable | None = None) -> list[Model]:
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if fit_all is not None:
+            return fit_all(rows, params)
         n = rows.count()
         with ThreadPool(parallelism) as pool:
             return pool.map(lambda p: build(p, n).fit(rows), params)
@@ -252,7 +254,7 @@ def train_founded(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_F
     keep = ["row_id", "founded"]
 
     def predict(candidate, train, valid):
-        for i, model in enumerate(fit_founded(train, candidate["build"], candidate["grid"], parallelism)):
+        for i, model in enumerate(fit_founded(train, candidate["build"], candidate["grid"], parallelism, candidate.get("fit_all"))):
             yield i, model.transform(valid).select("row_id", F.col("founded").alias("y_true"),
                                                    F.expm1("prediction").alias("y_pred"))
 
@@ -263,10 +265,9 @@ def train_founded(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_F
     won, dummy = winner_of(board), baseline_of(board)
 
     fitted = features(development)
-    build, params = candidates[won["seq"]]["build"], candidates[won["seq"]]["grid"][won["grid"]]
-    model = fit_founded(_all_vectors(fitted, development, keep), build, [params], 1)[0]
-    back = SQLTransformer(statement="SELECT *, expm1(prediction) AS pred_year FROM __THIS__")
-    pipeline = PipelineModel([*fitted.stages, model, back])
+    winner = candidates[won["seq"]]
+    model = fit_founded(_all_vectors(fitted, development, keep), winner["build"], [winner["grid"][won["grid"]]], 1, winner.get("fit_all"))[0]
+    pipeline = founded_pipeline(fitted, model)
     tested = staged(pipeline.transform(holdout).select("row_id", F.col("founded").alias("y_true"),
                                                        F.col("pred_year").alias("y_pred")))
     held = metrics.regression_metrics(tested).first()
@@ -281,7 +282,7 @@ def train_founded(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_F
         "generalization_gap_mae": held.mae - won["cv_best"], **_row_counts(rows),
     }
     return {"model": "founded", "pipeline": pipeline, "leaderboard": board, "metrics": values,
-            "attributes": _attributes("founded", "cv_best_mae", won, dummy),
+            "attributes": _attributes("founded", "cv_best_mae", won, dummy), "oof": oof,
             "reports": {"predictions_preview": metrics.worst_predictions(tested)}}
 
 
@@ -354,6 +355,11 @@ def train_price(rows: DataFrame, candidates: Sequence[dict], folds: int = CV_FOL
                         "label_support": metrics.label_supports(rows, ["split"])}}
 
 
+def founded_pipeline(fitted: PipelineModel, model: Model) -> PipelineModel:
+    """Features, model on log1p of the year, and the year it means."""
+    return PipelineModel([*fitted.stages, model, SQLTransformer(statement="SELECT *, expm1(prediction) AS pred_year FROM __THIS__")])
+
+
 def _all_vectors(fitted: PipelineModel, development: DataFrame, keep: Sequence[str]) -> DataFrame:
     return vectors(fitted, development, keep)
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brandlens.contract import KNOWN_PRICE_LABELS, MAX_FOUNDED_YEAR, MIN_FOUNDED_YEAR, label_column
 from brandlens.functions.text import is_blank, missing_text, strip
-from brandlens.operators.literal import unpivot_row
+from brandlens.operators.literal import literal_rows, unpivot_row
+from brandlens.sources.staging import staged
 
 PREDICTION_COLUMNS = ["pred_domain", "pred_founded", "pred_founded_rounded", "pred_price_category"]
 PROBABILITY_COLUMNS = [f"pred_price_prob__{label_column(x)}" for x in KNOWN_PRICE_LABELS]
@@ -79,7 +80,7 @@ def result_differences(left: DataFrame, right: DataFrame, row_id: str = "row_id"
 
 
 def smoke_checks(result: DataFrame, source: DataFrame, classes: DataFrame,
-                 second_result: DataFrame | None = None) -> DataFrame:
+                 second_result: DataFrame | None = None, row_id: str = "row_id") -> DataFrame:
     """(name, violations, passed) for all prediction checks.
 
     ``second_result`` scores the same rows with the target columns present.
@@ -88,6 +89,8 @@ def smoke_checks(result: DataFrame, source: DataFrame, classes: DataFrame,
     if missing:
         one = source.agg(F.lit(len(missing)).alias("required_prediction_columns"))
         return _verdicts(one, ["required_prediction_columns"])
+    # Scored once; the checks read the written predictions.
+    result = staged(result.select(row_id, *PREDICTION_COLUMNS, *PROBABILITY_COLUMNS, *FLAG_COLUMNS))
     violations = prediction_violations(result)
     counts = result.agg(F.count(F.lit(1)).alias("rows_out"), *[c.alias(n) for n, c in violations.items()])
     counts = counts.withColumns({
@@ -99,11 +102,19 @@ def smoke_checks(result: DataFrame, source: DataFrame, classes: DataFrame,
     names = ["row_count_preserved", "required_prediction_columns", "domain_known_classes_only", *violations]
     checks = _verdicts(counts, names)
     if second_result is not None:
-        differences = result_differences(result, second_result)
+        differences = result_differences(result, second_result, row_id)
         checks = checks.unionByName(_verdicts(differences, differences.columns))
     return checks
 
 
+def column_sets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, column): the columns of both frames, of the left one alone and of the right one alone."""
+    a, b = left.columns, right.columns
+    sides = {"both": [c for c in a if c in b], "left_only": [c for c in a if c not in b], "right_only": [c for c in b if c not in a]}
+    rows = [(side, c) for side, columns in sides.items() for c in columns]
+    return literal_rows(left.sparkSession, ["side", "column"], rows or [("both", "")]).filter(F.lit(bool(rows)))
+
+
 def _verdicts(counts: DataFrame, names: list[str]) -> DataFrame:
     return (unpivot_row(counts, names, name="name", value="violations")
             .select("name", F.col("violations").cast("bigint").alias("violations"))

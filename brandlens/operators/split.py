@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brandlens.contract import CV_FOLDS, SEED
 from brandlens.functions.numbers import hash32
+from brandlens.operators.numbering import numbered
 from brandlens.sources.staging import staged
 
 BUCKETS = 65_536
@@ -67,8 +68,9 @@ def cut_rows(df: DataFrame, strata: Sequence[str], row_id: str, seed: int | str,
     Rows with a null stratum form strata of their own.
     """
     strata = list(strata)
-    hashed = with_hash(df, row_id, seed)
-    starts = staged(bucket_starts(hashed.select(*strata, "_bucket"), strata))
+    # Only keys are written; the rows themselves are read once more, for the result.
+    keys = staged(with_hash(df.select(*strata, row_id), row_id, seed))
+    starts = staged(bucket_starts(keys.select(*strata, "_bucket"), strata))
     ends = cuts(starts.groupBy(*strata).agg(F.sum("_rows").alias("n")))
     # A cut lies in the bucket that holds the last row before it.
     placed = (join_null_safe(ends.select(*strata, F.explode("ends").alias("end")), starts, strata)
@@ -78,24 +80,25 @@ def cut_rows(df: DataFrame, strata: Sequence[str], row_id: str, seed: int | str,
                                            (F.col("end") - F.col("_start")).alias("keep"))).alias("_cuts")))
     at_zero = ends.select(*strata, F.size(F.filter("ends", lambda e: e <= 0)).alias("_empty"))
     table = staged(join_null_safe(at_zero, placed, strata, "left"))
-    marked = join_null_safe(hashed, table, strata)
     on_edge = F.coalesce(F.exists("_cuts", lambda x: x["bucket"] == F.col("_bucket")), F.lit(False))
     passed = F.col("_empty") + F.coalesce(
         F.size(F.filter("_cuts", lambda x: x["bucket"] < F.col("_bucket"))), F.lit(0))
     inside = Window.partitionBy(*strata, "_bucket").orderBy("_hash", row_id)
-    edge = (marked.filter(on_edge).withColumn("_inside", F.row_number().over(inside))
-            .withColumn(name, passed + F.size(F.filter("_cuts", lambda x: (x["bucket"] == F.col("_bucket"))
-                                                        & (x["keep"] < F.col("_inside")))))
-            .drop("_inside"))
-    sure = marked.filter(~on_edge).withColumn(name, passed)
-    return sure.unionByName(edge).drop("_hash", "_bucket", "_cuts", "_empty")
+    # Rows of the few buckets that hold a cut are ranked, as keys; their parts come back by row id.
+    edge = (join_null_safe(keys, table, strata).filter(on_edge).withColumn("_inside", F.row_number().over(inside))
+            .withColumn("_edge", passed + F.size(F.filter("_cuts", lambda x: (x["bucket"] == F.col("_bucket")) & (x["keep"] < F.col("_inside")))))
+            .groupBy(row_id).agg(F.min("_edge").alias("_edge")))
+    marked = join_null_safe(with_hash(df, row_id, seed), table, strata).join(staged(edge), row_id, "left")
+    part = F.when(on_edge, F.col("_edge")).otherwise(passed).alias(name)
+    return marked.select(*df.columns, part)
 
 
 def holdout_sizes(sizes: DataFrame, share: float) -> DataFrame:
     """(strata, n) to (strata, n, holdout): the holdout is ceil(share * rows) in total.
 
     The training rows are allotted in proportion to the strata, the rest to the largest
-    remainders. One row per class or label count, so a single window is enough.
+    remainders, ties by stratum. Remainders are numbered without a global window, so the number
+    of strata is not limited.
     """
     strata = [c for c in sizes.columns if c != "n"]
     total = F.lit(sizes.agg(F.sum("n")).scalar())
@@ -106,9 +109,8 @@ def holdout_sizes(sizes: DataFrame, share: float) -> DataFrame:
         "_rest": F.expr("cast((cast(n as decimal(19, 0)) * _train) % _total as bigint)"),
     })
     spare = F.col("_train") - F.lit(part.agg(F.sum("_base")).scalar())
-    order = Window.orderBy(F.desc("_rest"), *strata)
-    return (part.withColumn("_extra", (F.row_number().over(order) <= spare).cast("int"))
-            .select(*strata, "n", (F.col("n") - F.col("_base") - F.col("_extra")).alias("holdout")))
+    ranked = numbered(part.withColumn("_spare", spare), [F.desc("_rest"), *strata], "_place")
+    return ranked.select(*strata, "n", (F.col("n") - F.col("_base") - (F.col("_place") < F.col("_spare")).cast("int")).alias("holdout"))
 
 
 def add_holdout(df: DataFrame, strata: Sequence[str] = (), row_id: str = "row_id", share: float = 0.2,

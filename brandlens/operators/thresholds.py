@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brandlens.contract import KNOWN_PRICE_LABELS, THRESHOLD_GRID
+from brandlens.operators.literal import unpivot_row
 from brandlens.operators.metrics import multilabel_metrics, ratio
 
 
@@ -75,6 +76,23 @@ def check_thresholds(labels: Sequence[str], thresholds: dict[str, float]) -> Non
             raise ValueError(f"Threshold for {label!r} is outside [0, 1]: {value}")
 
 
+def threshold_contract(chosen: DataFrame) -> DataFrame:
+    """(name, violations, passed) for a table (label_idx, label, threshold): the labels are the
+    contract's, each once and at its place, and every threshold is a number in [0, 1]."""
+    n = len(KNOWN_PRICE_LABELS)
+    place = F.array_position(F.array(*[F.lit(x) for x in KNOWN_PRICE_LABELS]), F.col("label")) - 1
+    value = F.col("threshold").cast("double")
+    distinct = F.countDistinct(F.when(place >= 0, F.col("label")))
+    violations = {
+        "labels_known": F.count_if(~F.coalesce(place >= 0, F.lit(False))), "labels_complete": F.lit(n) - distinct,
+        "labels_once": F.count_if(place >= 0) - distinct,
+        "labels_in_order": F.count_if(~F.coalesce(place == F.col("label_idx"), F.lit(False))),
+        "thresholds_in_range": F.count_if(~F.coalesce(~F.isnan(value) & value.between(0.0, 1.0), F.lit(False)))}
+    counts = chosen.agg(*[c.alias(name) for name, c in violations.items()])
+    return (unpivot_row(counts, list(violations), name="name", value="violations").withColumn("violations", F.col("violations").cast("bigint"))
+            .withColumn("passed", (F.col("violations") == 0).cast("int")))
+
+
 def argmax(probabilities: Column) -> Column:
     """Zero-based position of the first maximum."""
     return (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int")

@@ -359,6 +359,33 @@ def first_best(spark, sf):
     return rounded(H.first_best_thresholds(H.threshold_scores(S.scored_multi(spark, sf), grid=OLD_THRESHOLD_GRID)))
 
 
+_IN_SAMPLE = "multi_in_sample"
+O.CTES[_IN_SAMPLE] = "select * from scored_multi where fold <> 0"
+O.CTES["in_sample_grid_f1"] = O.CTES["grid_f1"].replace("scored_multi", _IN_SAMPLE)
+O.CTES["in_sample_limits"] = O.CTES["best_limits"].replace("grid_f1", "in_sample_grid_f1")
+
+
+@query("n2_in_sample_thresholds", O.sql(f"select label_idx, {S._LABELS}[label_idx + 1] as label, threshold, round(f1, 6) as f1 from in_sample_limits"))
+def in_sample_thresholds(spark, sf):
+    """Older rule: thresholds from the probabilities of the rows a fold's model was trained on."""
+    return rounded(H.best_thresholds(H.threshold_scores(S.scored_multi(spark, sf).filter("fold <> 0"))))
+
+
+_CONTRACT = {"labels_known": (0, 1), "labels_complete": (0, 1), "labels_once": (0, 0), "labels_in_order": (0, 1), "thresholds_in_range": (0, 2)}
+
+
+@query("h7_threshold_contract", " union all ".join(
+    f"select '{t}' as chosen, '{name}' as name, {v[i]}::bigint as violations, {int(v[i] == 0)} as passed" for i, t in enumerate(("calibrated", "broken")) for name, v in _CONTRACT.items()))
+def threshold_contract(spark, sf):
+    """The calibrated thresholds, and a copy with a wrong label and two wrong values."""
+    chosen = staged(_best(spark, sf))
+    i = col("label_idx")
+    broken = chosen.withColumns({"label": F.when(i == 0, F.lit("?")).otherwise(col("label")),
+                                 "threshold": F.when(i == 1, F.lit(None)).when(i == 2, F.lit(1.5)).otherwise(col("threshold"))})
+    both = [H.threshold_contract(df).withColumn("chosen", F.lit(name)) for name, df in (("calibrated", chosen), ("broken", broken))]
+    return both[0].unionByName(both[1])
+
+
 @query("h3_applied_thresholds_w5", O.sql(
     "select row_id, " + ", ".join(f"p[{i + 1}] as p{i}" for i in range(N))
     + ", (list_position(prob, list_max(prob)) - 1)::int as top from multi_optimized join (select row_id, prob from scored_multi) using (row_id)"))

@@ -1,23 +1,27 @@
 """Queries for feature vectors, training and scoring.
 
-Training queries run the whole candidate lists of ``models.candidates``, and scoring queries the
-winners with their calibrated thresholds. Rows are never cut.
+The training query runs a whole family with all grid points and folds, and scoring queries one model
+with its full parameters. Selections over all families are jobs of ``plans.runs``. Rows are never cut.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from brandlens.contract import FEATURE_CONTRACT_VERSION, KNOWN_PRICE_LABELS, NUMERIC_FEATURES
+from brandlens.contract import FEATURE_CONTRACT_VERSION, NUMERIC_FEATURES
 from brandlens.models import candidates as K, features as X, training as T
-from brandlens.models.scoring import score, scoring_summary
-from brandlens.operators.prepare import domain_rows
+from brandlens.models.scoring import score, score_cascaded, write_scored
+from brandlens.operators import numbering
+from brandlens.operators.prepare import domain_rows, founded_rows
 from brandlens.operators.schema import model_input
 from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, rounded
-from brandlens.sources.staging import staged
+from brandlens.sources.staging import shared_folder, staged
 
 
 def feature_rows(spark, sf, keep=("row_id",)):
@@ -119,73 +123,98 @@ def balanced_weights(spark, sf):
     return rounded(T.balanced(rows, "domain").select("row_id", "weight"))
 
 
-# --- training and scoring ---------------------------------------------------
-
-def _light(found, name, point):
-    """One candidate of a list with a single grid point."""
-    chosen = next(c for c in found if c["name"] == name)
-    return {**chosen, "grid": [point]}
-
+@query("n6_targets_as_features", O.sql(
+    "select count(*) as rows, (11 + (select count(distinct country_origin) + count(distinct domain) + count(distinct price_category) from prep) "
+    "+ (select count(*) from vocab_description) + (select count(*) from vocab_name_clean))::int as n_slots from prep"))
+def targets_as_features(spark, sf):
+    """Older experiment outside the feature contract: target-like columns among the features."""
+    rows = staged(model_input(prepared(spark, sf), keep=["row_id", "founded", "total_rented_area", "has_total_rented_area", "domain", "price_category"]))
+    fitted = X.fit_features(rows, [*NUMERIC_FEATURES, "founded", "total_rented_area", "has_total_rented_area"],
+                            ["country_origin", "domain", "price_category"], check=False)
+    summary = Summarizer.metrics("count", "max").summary(F.col("features"))
+    return X.vectors(fitted, rows, []).select(summary.alias("s")).select(F.col("s.count").alias("rows"), F.size(vector_to_array("s.max")).alias("n_slots"))
 
-def light_candidates(max_iter=15, trees=10):
-    """Small lists for tests of the protocol; no query uses them."""
-    return {
-        "domain": [_light(K.domain_candidates(max_iter=max_iter), "LogisticRegression", {"C": 1.0}),
-                   _light(K.domain_candidates(trees), "RandomForest", {"max_depth": 8, "min_leaf": 1})],
-        "founded": [_light(K.founded_candidates(max_iter=max_iter), "Ridge", {"alpha": 1.0}),
-                    _light(K.founded_candidates(trees), "RandomForest", {"max_depth": 5, "min_leaf": 2})],
-        "price_category": [_light(K.price_candidates(max_iter=max_iter), "LogisticRegression", {"C": 1.0})],
-    }
 
+@query("m16_code_table", O.sql("select row_id, (dense_rank() over (order by country_origin) - 1)::bigint as code, country_origin as decoded from prep"))
+def codes(spark, sf):
+    """Categories numbered by a distributed code table, and read back from their numbers."""
+    rows = staged(prepared(spark, sf).select("row_id", "country_origin"))
+    table = numbering.code_table(rows, "country_origin")
+    coded = numbering.encode(rows, table, "country_origin").select("row_id", "code")
+    return numbering.decode(coded, table, "country_origin").select("row_id", "code", F.col("country_origin").alias("decoded"))
 
-def _board(board):
-    return rounded(board.select("name", "family", "best_params", "cv_best", "cv_std", "place", "winner"), 4)
 
+# --- training and scoring ---------------------------------------------------
 
-@query("m9_m13_domain_leaderboard")
-def domain_leaderboard(spark, sf):
-    rows = T.domain_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_domain(rows, K.domain_candidates(), parallelism=5)["leaderboard"])
+O.CTES["founded_split"] = (f"select row_id, founded, row_number() over (order by {O.hash32(O.keyed('row_id', 42))}, row_id) <= ceil(count(*) over () * 0.2::double) as held "
+                           "from founded_rows")
+O.CTES["founded_folds"] = (
+    "select row_id, founded, (least(4, case when r < (n % 5) * (n // 5 + 1) then r // (n // 5 + 1) else (n % 5) + (r - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) end))::int as fold "
+    f"from (select row_id, founded, row_number() over (order by {O.hash32(O.keyed('row_id', '42|fold'))}, row_id) - 1 as r, count(*) over () as n from founded_split where not held)")
+O.CTES["founded_baseline"] = ("select f.fold, count(*) as rows, avg(abs(f.founded - m.median)) as mae from founded_folds f join "
+                              "(select t.fold, quantile_cont(s.founded, 0.5) as median from (select distinct fold from founded_folds) t join founded_folds s on s.fold <> t.fold group by 1) m "
+                              "on m.fold = f.fold group by 1")
+
+
+@query("m10_m13_ridge_selection", O.sql(
+    "select 'fold' as part, 'Ridge' as name, params, fold, rows, rows as finite_rows, null::double as cv_best, null::double as cv_std, null::int as winner "
+    "from founded_baseline cross join (select unnest(['{\"alpha\": 0.3}', '{\"alpha\": 1.0}', '{\"alpha\": 3.0}']) as params) "
+    "union all select 'board', 'DummyMedian', '{}', null, null, null, round(avg(mae), 6), round(stddev_pop(mae), 6), 0 from founded_baseline "
+    "union all select 'board', 'Ridge', null, null, null, null, null, null, 1"))
+def ridge_selection(spark, sf):
+    """The linear family of the year target, all penalties and folds: the out-of-fold rows of every
+    grid point, the baseline's scores and the winner. A model's own scores are not shown."""
+    rows = T.founded_training_rows(staged(prepared(spark, sf)))
+    candidates = [c for c in K.founded_candidates() if c["family"] == "linear"]
+    result = T.train_founded(rows, candidates, parallelism=5)
+    points = F.array(*[F.lit(json.dumps(p, sort_keys=True)) for p in candidates[0]["grid"]])
+    year = F.col("y_pred")
+    folds = (result["oof"].groupBy(points[F.col("grid")].alias("params"), "fold")
+             .agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.isnan(year) & (F.abs(year) < float("inf"))).alias("finite_rows"))
+             .select(F.lit("fold").alias("part"), F.lit("Ridge").alias("name"), "params", "fold", "rows", "finite_rows",
+                     F.lit(None).cast("double").alias("cv_best"), F.lit(None).cast("double").alias("cv_std"), F.lit(None).cast("int").alias("winner")))
+    dummy = F.col("family") == "baseline"
+    board = result["leaderboard"].select(
+        F.lit("board").alias("part"), "name", F.when(dummy, F.col("best_params")).alias("params"), F.lit(None).cast("int").alias("fold"),
+        F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("finite_rows"),
+        F.when(dummy, F.col("cv_best")).alias("cv_best"), F.when(dummy, F.col("cv_std")).alias("cv_std"), "winner")
+    return rounded(folds.unionByName(board))
+
+
+def year_model(spark, sf):
+    """One candidate with its full parameters, fitted on all rows with a valid year."""
+    rows = staged(model_input(founded_rows(prepared(spark, sf)), keep=["row_id", "founded"]))
+    ridge = next(c for c in K.founded_candidates() if c["name"] == "Ridge")
+    fitted = X.fit_features(rows)
+    return {"founded": T.founded_pipeline(fitted, T.fit_founded(X.vectors(fitted, rows, ["founded"]), ridge["build"], [{"alpha": 1.0}], 1, ridge["fit_all"])[0])}
 
 
-@query("m10_m13_founded_leaderboard")
-def founded_leaderboard(spark, sf):
-    rows = T.founded_training_rows(staged(prepared(spark, sf)))
-    return _board(T.train_founded(rows, K.founded_candidates(), parallelism=5)["leaderboard"])
+def _year_checks(result, low, high):
+    year, absent = F.col("pred_founded"), F.col("pred_domain").isNull() & F.col("pred_price_category").isNull()
+    flags = {"year_in_range": F.coalesce(year.between(low, high), F.lit(False)),
+             "year_is_rounded": F.coalesce(F.abs(F.col("pred_founded_rounded") - year) <= 0.5, F.lit(False)), "others_are_null": absent}
+    return result.select("row_id", *[c.cast("int").alias(n) for n, c in flags.items()])
 
 
-@query("m11_m13_price_leaderboard_h1")
-def price_leaderboard(spark, sf):
-    """Leaderboard lines of the price target, with the calibrated thresholds of the winner."""
-    rows = T.price_training_rows(staged(prepared(spark, sf)))
-    result = T.train_price(rows, K.price_candidates(), parallelism=5)
-    limits = F.array_join(F.array(*[F.lit(str(result["thresholds"][x])) for x in KNOWN_PRICE_LABELS]), ";")
-    return _board(result["leaderboard"]).withColumn("thresholds", F.when(F.col("winner") == 1, limits))
+_YEAR_CHECKS = O.sql("select row_id, 1 as year_in_range, 1 as year_is_rounded, 1 as others_are_null from brands")
 
 
-def fitted_models(spark, sf):
-    """The winner of each target, and the price winner's thresholds."""
-    rows = staged(prepared(spark, sf))
-    results = {
-        "domain": T.train_domain(T.domain_training_rows(rows), K.domain_candidates(), parallelism=5),
-        "founded": T.train_founded(T.founded_training_rows(rows), K.founded_candidates(), parallelism=5),
-        "price_category": T.train_price(T.price_training_rows(rows), K.price_candidates(), parallelism=5),
-    }
-    return {m: r["pipeline"] for m, r in results.items()}, results["price_category"]["thresholds"]
+@query("b1_b3_scored_years", _YEAR_CHECKS)
+def scored_years(spark, sf):
+    """All brands scored by a trained year model; the models that are absent leave nulls."""
+    return _year_checks(score(brands(spark, sf), year_model(spark, sf)), 1850, 2025)
 
 
-@query("b1_to_b4_scored_brands")
-def scored_brands(spark, sf):
-    models, thresholds = fitted_models(spark, sf)
-    result = score(brands(spark, sf), models, thresholds)
-    return rounded(result.select("row_id", *[c for c in result.columns if c.startswith("pred_")]), 4)
+@query("b6_cascaded_years", _YEAR_CHECKS)
+def cascaded_years(spark, sf):
+    """The superseded cascade, whose years are only clipped at zero."""
+    return _year_checks(score_cascaded(brands(spark, sf), year_model(spark, sf)), 0, float("inf"))
 
 
 @query("b5_scoring_summary", O.sql(
-    f"select count(*) as rows_scored, '{FEATURE_CONTRACT_VERSION}' as feature_contract_version, 1 as domain_model_used, "
-    f"0 as founded_model_used, 0 as price_category_model_used from brands"))
+    f"select count(*) as rows_scored, '{FEATURE_CONTRACT_VERSION}' as feature_contract_version, 0 as domain_model_used, "
+    f"1 as founded_model_used, 0 as price_category_model_used from brands"))
 def summary(spark, sf):
-    """Scoring with a domain model only: the other predictions are null."""
-    rows = T.domain_training_rows(staged(prepared(spark, sf)))
-    models = {"domain": T.train_domain(rows, K.domain_candidates(), parallelism=5)["pipeline"]}
-    return scoring_summary(score(brands(spark, sf), models), models)
+    """Rows counted by the pass that writes the scoring."""
+    models = year_model(spark, sf)
+    return write_scored(score(brands(spark, sf), models), models, f"{shared_folder(spark)}/scored-{uuid.uuid4().hex}")

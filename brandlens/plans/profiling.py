@@ -13,6 +13,7 @@ from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, rounded, table
 from brandlens.plans.tables_and_functions import _MIXED
 from brandlens.sources.brands import documents, raw_brands
+from brandlens.sources.staging import staged
 
 
 def col(name):
@@ -505,23 +506,37 @@ _QA = union([
 
 @query("a23_training_readiness", O.sql(_READINESS))
 def readiness(spark, sf):
-    return R.training_readiness(prepared(spark, sf))
+    return R.training_readiness(staged(prepared(spark, sf)))
+
+
+def _qa_tables(spark, sf):
+    """Raw and prepared rows, each written once for all measures."""
+    raw = staged(raw_brands(spark, sf))
+    return raw, staged(prepare_features(raw))
 
 
 @query("a24_qa_metrics", O.sql(_QA))
 def qa_metrics(spark, sf):
-    raw = raw_brands(spark, sf)
-    return rounded(R.qa_metrics(raw, prepare_features(raw)))
+    return rounded(R.qa_metrics(*_qa_tables(spark, sf)))
+
+
+_RAW_COLUMNS = ["row_id", "name", "contry_origin", *CANONICAL_COLUMNS[2:]]
+_PREPARED_COLUMNS = ["row_id", "name", "country_origin", *CANONICAL_COLUMNS[2:], "name_clean", "presence_own", "presence_franchise",
+                     "n_regions", "desc_len", "desc_has_digits", "desc_year_mentions", "has_total_rented_area"]
+_TEXT_LINES = [("schema", "raw_columns", ", ".join(_RAW_COLUMNS)), ("schema", "prepared_columns", ", ".join(_PREPARED_COLUMNS)), ("schema", "required_columns_check", "OK"),
+               ("target_contract", "unknown_domain_value", "Неизвестно"), ("target_contract", "unknown_price_label", "неизвестно"),
+               ("target_contract", "known_price_labels", "; ".join(KNOWN_PRICE_LABELS))]
 
 
 @query("a24_qa_summary", O.sql(
-    f"select section, metric as key, (round(value * 1000000)::bigint)::varchar as value from ({_QA})"))
+    f"select section, metric as key, (round(value * 1000000)::bigint)::varchar as value from ({_QA}) union all "
+    + union(f"select '{a}', '{k}', '{v}'" for a, k, v in _TEXT_LINES)
+    + f" union all select 'unexpected_label', l, count(*)::varchar from (select unnest({O.unexpected_labels('price_category')}) as l from prep) group by l"))
 def qa_summary(spark, sf):
-    """The measured lines of the summary, values as text in millionths."""
-    raw = raw_brands(spark, sf)
-    summary = R.qa_summary(raw, prepare_features(raw)).filter(
-        ~F.col("section").isin("target_contract", "unexpected_label") & F.col("value").rlike("^[0-9.-]+$"))
-    return summary.select("section", "key", F.round(F.col("value").cast("double") * 1000000).cast("bigint").cast("string").alias("value"))
+    """All lines of the summary; measured values as text in millionths."""
+    summary = R.qa_summary(*_qa_tables(spark, sf))
+    number = F.when(F.col("section") != "unexpected_label", F.expr("try_cast(value as double)"))
+    return summary.select("section", "key", F.coalesce(F.round(number * 1000000).cast("bigint").cast("string"), "value").alias("value"))
 
 
 def _gate_sql():
@@ -534,8 +549,7 @@ def _gate_sql():
 
 @query("g1_data_gate", O.sql(_gate_sql()))
 def data_gate(spark, sf):
-    raw = raw_brands(spark, sf)
-    return rounded(R.data_gate(R.qa_metrics(raw, prepare_features(raw))))
+    return rounded(R.data_gate(R.qa_metrics(*_qa_tables(spark, sf))))
 
 
 _OLD_READINESS = union([

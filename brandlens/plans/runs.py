@@ -20,7 +20,7 @@ from brandlens.contract import (
 from brandlens.functions import text
 from brandlens.functions.numbers import to_number
 from brandlens.models import candidates as K, training as T
-from brandlens.models.scoring import score, scoring_summary
+from brandlens.models.scoring import score, write_scored
 from brandlens.operators import checks, duplicates as D, profile as P, quality as QA, readiness as R
 from brandlens.operators.literal import literal_rows
 from brandlens.operators.prepare import prepare_features
@@ -151,10 +151,6 @@ def train_run(raw: DataFrame, folder: str, run_id: str, candidates: Mapping[str,
     attributes = literal_rows(spark, ["run_id", "model", "key", "value"], [
         (run_id, m, k, str(v)) for m, r in results.items() for k, v in r["attributes"].items()])
     classes = spark.createDataFrame([(run_id, c) for c in results["domain"]["classes"]], "run_id string, domain string")
-    metrics.write.mode("append").parquet(f"{folder}/metrics")
-    attributes.write.mode("append").parquet(f"{folder}/attributes")
-    classes.write.mode("append").parquet(f"{folder}/classes")
-
     gaps = QA.report_gaps(attributes, metrics).orderBy("model", "item").collect()  # a run has few entries
     if gaps:
         raise RuntimeError("Training reports are incomplete: " + ", ".join(f"{g.model}.{g.item} {g.problem}" for g in gaps))
@@ -168,11 +164,18 @@ def train_run(raw: DataFrame, folder: str, run_id: str, candidates: Mapping[str,
         "smoke_status": "PASSED" if smoke.filter("passed = 0").isEmpty() else "FAILED",
     }
     entry = (run_id, datetime.now(timezone.utc).isoformat(), POLICY_VERSION, *statuses.values())
-    literal_rows(spark, ["run_id", "published_at", "policy_version", "quality_status", "smoke_status"], [entry]
-                 ).write.mode("append").parquet(f"{folder}/ledger")
+    ledger = literal_rows(spark, ["run_id", "published_at", "policy_version", "quality_status", "smoke_status"], [entry])
+    # The ledger comes last: a run that is not in it is never read.
+    for name, rows in (("metrics", metrics), ("attributes", attributes), ("classes", classes), ("ledger", ledger)):
+        replace_run(rows, f"{folder}/{name}")
     return statuses
 
 
+def replace_run(rows: DataFrame, path: str) -> None:
+    """Write the rows of a run in place of its earlier ones; other runs stay."""
+    rows.write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def smoke_test(raw: DataFrame, models: Mapping[str, PipelineModel], thresholds: Mapping[str, float],
                classes: DataFrame, rows: int = 20, seed: int = SEED) -> DataFrame:
     """Score a seeded sample with and without its target columns and check the predictions."""
@@ -192,18 +195,17 @@ def load_models(spark: SparkSession, folder: str, run_id: str) -> tuple[dict[str
     return models, {label: thresholds[label] for label in KNOWN_PRICE_LABELS}
 
 
+def current_models(spark: SparkSession, folder: str) -> tuple[dict[str, PipelineModel], dict[str, float]]:
+    """Models and thresholds of the newest run that passed all checks; refuses if there is none."""
+    return load_models(spark, folder, QA.current_run(spark.read.parquet(f"{folder}/ledger"), spark.read.parquet(f"{folder}/attributes")))
+
+
 def score_current(raw: DataFrame, folder: str) -> DataFrame:
-    """Score with the newest run that passed all checks; refuses if there is none."""
-    spark = raw.sparkSession
-    run_id = QA.current_run(spark.read.parquet(f"{folder}/ledger"), spark.read.parquet(f"{folder}/attributes"))
-    models, thresholds = load_models(spark, folder, run_id)
-    return score(raw, models, thresholds)
+    """Score with the newest run that passed all checks."""
+    return score(raw, *current_models(raw.sparkSession, folder))
 
 
 def run_scoring(raw: DataFrame, folder: str, out: str, fmt: str = "parquet") -> DataFrame:
     """Write predictions and a one-row summary; returns the summary."""
-    spark = raw.sparkSession
-    result = score_current(raw, folder)
-    write_table(result, out, fmt)
-    written = spark.read.schema(result.schema).parquet(out) if fmt == "parquet" else result
-    return scoring_summary(written, {m: True for m in MODELS})
+    models, thresholds = current_models(raw.sparkSession, folder)
+    return write_scored(score(raw, models, thresholds), models, out, fmt)

@@ -11,7 +11,7 @@ from brandlens.contract import (
     label_column,
 )
 from brandlens.functions import labels, numbers, text
-from brandlens.operators import prepare, profile, quality, schema, split
+from brandlens.operators import checks, prepare, profile, quality, schema, split
 from brandlens.plans import oracle as O
 from brandlens.plans.registry import brands, prepared, query, table
 from brandlens.sources import csv_files
@@ -117,6 +117,17 @@ def schema_report(spark, sf):
     return schema.schema_report(raw, prepare.prepare_features(raw))
 
 
+_J7 = ([("both", c) for c in ["row_id", "name", *CANONICAL_COLUMNS[2:]]] + [("left_only", "contry_origin")]
+       + [("right_only", c) for c in ["country_origin", *_PREP_ORDER[11:]]])
+
+
+@query("j7_column_sets", " union all ".join(f"select '{s}' as side, '{c}' as \"column\"" for s, c in _J7))
+def column_sets(spark, sf):
+    """Columns that the raw and the prepared table share, and those that only one of them has."""
+    raw = raw_brands(spark, sf)
+    return checks.column_sets(raw, prepare.prepare_features(raw))
+
+
 # --- text functions ---------------------------------------------------------
 
 def _by_row(name, select, oracle_select):

@@ -10,10 +10,10 @@ from brandlens.operators import checks
 from brandlens.operators.prepare import prepare_features
 from brandlens.operators.schema import harmonize, model_input
 from brandlens.plans import runs
-from brandlens.plans.modelling import light_candidates
 from brandlens.sources.brands import raw_brands
 from brandlens.sources.staging import staged
 from brand_data import SF
+from small_candidates import light_candidates
 
 LENIENT = [(m, k, op, -1e9 if op == ">=" else 1e9) for m, k, op, _ in POLICY]
 
