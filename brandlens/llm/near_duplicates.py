@@ -14,9 +14,10 @@ documents holds over twice the mean load; that only steers the order, any order
 
 Verification. Equal sets are one node. A node is first compared with one leader of its index
 entries only; groups of copies thereby fall into few components. Then every two nodes
-that share an entry but not a component are counted over their entries, pairs that cannot reach
-the threshold by length or by the number of shared prefix elements are left out, and the rest are
-compared. No link between components can be missed, links inside a component change nothing.
+that share an entry but not a component are counted over their entries; pairs that cannot reach
+the threshold by length, by the number of shared prefix elements or by their parities are left out,
+and the rest are compared. A set's parities tell for each of 512 cells whether an odd number of its
+elements fall there: cells that differ between two sets are no more than elements that differ. No link between components can be missed, links inside a component change nothing.
 
 Hashes have 64 bits; a set's name is a 64-bit hash of its elements.
 
@@ -32,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
-from .shared import partitions, slices, staged, text_column
+from .shared import drop_staged, partitions, slices, staged, text_column
 from .sketches import count_chunks, marked, occurrence_bits, total_counts
 from .text_hash import Stretches, joined, mixed, words
 
@@ -44,6 +46,7 @@ _COUNT_BITS = 20
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _FACTS = "doc_id long, n long, node long, chunk int, counts binary"
 _SALTS = 16
+_CELLS = 512
 _PAIRS = "a long, b long, m long, n long, common long"
 # Nodes of a leader that one task compares with as many others.
 _BLOCK_NODES = 1024
@@ -77,18 +80,23 @@ def _node(tokens: np.ndarray) -> np.uint64:
     return mixed(mixed(tokens).sum(keepdims=True) + np.uint64(len(tokens)))[0]
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Of each of 512 cells, whether an odd number of elements fall there."""
+    return np.packbits(np.bincount((tokens % np.uint64(_CELLS)).astype(np.int64), minlength=_CELLS) & 1).tobytes()
+
+
 def _facts(docs: DataFrame) -> DataFrame:
-    """A row for each document with its size and node, and rows with each task's counts of elements."""
+    """A row for each document with its size, node and parities, and rows with each task's counts of
+    elements (those with a chunk)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _COUNT_BITS, dtype=np.int64)
         for batch in batches:
             for rows in slices(batch):
                 sets = shingle_sets(text_column(rows))
                 counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - _COUNT_BITS)).astype(np.int64), minlength=len(counts))
-                none = rows.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array([_node(s) for s in sets], dtype=np.uint64).view(np.int64)),
-                     pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=["doc_id", "n", "node", "chunk", "counts"])
+                     pa.nulls(rows.num_rows, pa.int32()), pa.array([parities(s) for s in sets], pa.binary())], names=["doc_id", "n", "node", "chunk", "counts"])
         chunks = count_chunks(counts)
         none = pa.nulls(chunks.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, *chunks.columns], names=["doc_id", "n", "node", "chunk", "counts"])
@@ -207,52 +215,69 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
             .groupBy(F.col("node").alias("b")).agg(F.max(F.struct("common", F.col("led.node").alias("a"))).alias("best")).select("best.a", "b"))
 
 
-def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def _open_pairs(shared: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs of nodes that share an entry but no component and may reach the threshold.
 
     Entries with one leader (over all salts) are counted together, since near copies share many of
     them. A leader's nodes are dealt over blocks of a bounded number, and every two of its blocks
-    meet in one group; a pair leaves it once, unless it cannot reach the threshold even if all its
-    other entries were shared.
+    meet in one group, which holds a row for each of its nodes and one for each entry of a node. A
+    pair leaves it once, unless it cannot reach the threshold even if all its other entries were
+    shared. ``bits`` has the parities of nodes.
     """
     known = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = (known.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("led").alias("top"))
                .filter("low != high").select("entry", F.col("top.node").alias("leader")))
     rows = staged(known.join(several, "entry").select("leader", "entry", "node", "size", "label").distinct(), "open-rows")
     most = rows.groupBy("node").agg(F.count("*").alias("most"))
-    parts = rows.groupBy("leader").agg(F.ceil(F.countDistinct("node") / _BLOCK_NODES).alias("parts"))
-    placed = rows.join(most, "node").join(parts, "leader").withColumn("own", F.pmod(F.xxhash64("node"), "parts"))
-    # Each block of a leader meets each other one, and itself, once.
-    dealt = (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
-             .repartition(partitions(shared.sparkSession), "leader", "x", "y").sortWithinPartitions("leader", "x", "y", "entry"))
-    counted = (dealt.select("leader", "x", "y", "own", "entry", "node", "size", "label", "most").mapInArrow(_count_pairs, _PAIRS)
-               .groupBy("a", "b", "m", "n").agg(F.sum("common").alias("common")))
+    own_bits = bits.join(most.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
+    members = staged(rows.select("leader", "node", "size", "label").distinct().join(most, "node").join(own_bits, "node"), "open-nodes")
+    # Written, so that the join knows its size: only leaders of several blocks.
+    parts = staged(members.groupBy("leader").agg(F.ceil(F.count("*") / _BLOCK_NODES).alias("parts")).filter("parts > 1"), "open-parts")
+
+    def dealt(df: DataFrame) -> DataFrame:
+        placed = df.join(parts, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), "parts"))
+        # Each block of a leader meets each other one, and itself, once.
+        return (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+                .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")))
+
+    whole = ["leader", "x", "y", "entry", "node", "own", "size", "label", "most", "bits"]
+    nodes = dealt(members).withColumn("entry", F.lit(None).cast("long")).select(whole)
+    entries = dealt(rows.select("leader", "entry", "node")).select(*whole[:5], *[F.lit(None).cast(t).alias(c) for c, t in nodes.dtypes[5:]])
+    groups = (nodes.unionByName(entries).repartition(partitions(shared.sparkSession), "leader", "x", "y")
+              .sortWithinPartitions("leader", "x", "y", F.col("entry").asc_nulls_first()))
+    counted = groups.mapInArrow(_count_pairs, _PAIRS).groupBy("a", "b", "m", "n").agg(F.sum("common").alias("common"))
     return counted.filter(_may_link(F.col("m"), F.col("n"), F.col("common"))).select("a", "b")
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each group (leader, x, y) with their numbers of common entries in it."""
-    held: list[np.ndarray] = []
-    names = ["leader", "x", "y", "own", "entry", "node", "size", "label", "most"]
+    held: list[pa.RecordBatch] = []
+    key: tuple[int, ...] = ()
     for batch in batches:
-        table = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in names])
-        cuts = np.flatnonzero((np.diff(table[:3]) != 0).any(axis=0)) + 1
-        for part in np.split(table, cuts, axis=1):
-            if held and part.shape[1] and (held[0][:3, 0] != part[:3, 0]).any():
-                yield _pairs_of_group(np.concatenate(held, axis=1))
+        keys = np.stack([np.asarray(batch.column(c)) for c in ("leader", "x", "y")])
+        cuts = np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if high == low:
+                continue
+            own = tuple(keys[:, low].tolist())
+            if held and own != key:
+                yield _pairs_of_group(pa.Table.from_batches(held), key[1] == key[2])
                 held = []
-            if part.shape[1]:
-                held.append(part)
+            key = own
+            held.append(batch.slice(int(low), int(high - low)))
     if held:
-        yield _pairs_of_group(np.concatenate(held, axis=1))
-
-
-def _pairs_of_group(rows: np.ndarray) -> pa.RecordBatch:
-    """rows: leader, x, y, own block, entry, node, size, label, open entries of the node."""
-    x, y = rows[1, 0], rows[2, 0]
-    nodes, first, at = np.unique(rows[5], return_index=True, return_inverse=True)
-    own, size, label, most = (rows[k][first] for k in (3, 6, 7, 8))
+        yield _pairs_of_group(pa.Table.from_batches(held), key[1] == key[2])
+
+
+def _pairs_of_group(rows: pa.Table, one_block: bool) -> pa.RecordBatch:
+    """Rows of nodes (entry null) and rows of their entries, in order of the entries."""
+    is_node = rows["entry"].is_null()
+    members, entries = rows.filter(is_node), rows.filter(pc.invert(is_node))
+    order = np.argsort(np.asarray(members["node"]))
+    nodes, own, size, label, most = (np.asarray(members[c])[order] for c in ("node", "own", "size", "label", "most"))
+    bits = np.frombuffer(b"".join(members["bits"].to_pylist()), dtype=np.uint8).reshape(-1, _CELLS // 8)[order]
+    size = size.astype(np.int64)
+    at = np.searchsorted(nodes, np.asarray(entries["node"]))
     here = np.bincount(at, minlength=len(nodes))
     total: dict[int, int] = {}
     keys: list[np.ndarray] = []
@@ -263,14 +288,14 @@ def _pairs_of_group(rows: np.ndarray) -> pa.RecordBatch:
         for code, k in zip(codes.tolist(), n.tolist()):
             total[code] = total.get(code, 0) + k
 
-    for members in np.split(at, np.flatnonzero(np.diff(rows[4])) + 1):
+    for members_ in np.split(at, np.flatnonzero(np.diff(np.asarray(entries["entry"]))) + 1):
         # Nodes in order, one of each label pair; two blocks meet across, a block meets itself.
-        members = np.sort(members)
-        i, j = np.triu_indices(len(members), 1)
-        i, j = members[i], members[j]
+        members_ = np.sort(members_)
+        i, j = np.triu_indices(len(members_), 1)
+        i, j = members_[i], members_[j]
         m, n = size[i], size[j]
         fit = (label[i] != label[j]) & (175 * np.minimum(m, n) >= 75 * (m + n))
-        if x != y:
+        if not one_block:
             fit &= own[i] != own[j]
         i, j, m, n = i[fit], j[fit], m[fit], n[fit]
         behind = np.maximum(-(-3 * m // 4), -(-3 * n // 4)) - 1
@@ -289,6 +314,10 @@ def _pairs_of_group(rows: np.ndarray) -> pa.RecordBatch:
     behind = np.maximum(-(-3 * m // 4), -(-3 * n // 4)) - 1
     elsewhere = np.minimum(most[i] - here[i], most[j] - here[j])
     fit = 175 * (common + elsewhere + behind) >= 75 * (m + n)
+    # Linked sets of m and n elements differ in at most (m + n) / 7.
+    for low in range(0, len(i), 1 << 16):
+        part = slice(low, low + (1 << 16))
+        fit[part] &= 7 * np.bitwise_count(bits[i[part]] ^ bits[j[part]]).sum(axis=1, dtype=np.int64) <= m[part] + n[part]
     return pa.RecordBatch.from_arrays([pa.array(v[fit]) for v in (nodes[i], nodes[j], m, n, common)], names=["a", "b", "m", "n", "common"])
 
 
@@ -297,7 +326,8 @@ def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     The sets of b are sent to a's, over salts so that a node of many pairs is split.
     """
-    pairs = staged(pairs, "pairs").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(_SALTS)))
+    written = staged(pairs, "pairs")
+    pairs = written.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(_SALTS)))
     asked = (pairs.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("role"))
              .unionByName(pairs.select(F.col("a").alias("node"), "a", "salt", F.lit(0).alias("role")).distinct()))
     table = docs.sparkSession.sparkContext.broadcast(occurrence_bits(asked.select("node").distinct()))
@@ -334,7 +364,9 @@ def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return staged(rows.select("a", "salt", "role", "node", "tokens").mapInArrow(compare, "a long, b long"), "links")
+    links = staged(rows.select("a", "salt", "role", "node", "tokens").mapInArrow(compare, "a long, b long"), "links")
+    drop_staged(written)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -342,10 +374,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     facts = _facts(docs)
     rows = facts.filter(F.col("chunk").isNull()).select("doc_id", "n", "node")
+    bits = facts.filter(F.col("chunk").isNull()).select("node", F.col("counts").alias("bits"))
     counts = total_counts(facts.filter(F.col("chunk").isNotNull()).select("chunk", "counts"), _COUNT_BITS)
     shared = staged(_shared_entries(_entries(docs, counts)), "shared-entries")
     first = _links(docs, _star_pairs(shared))
-    second = _links(docs, _open_pairs(shared, components(first)))
+    second = _links(docs, _open_pairs(shared, components(first), bits))
+    drop_staged(shared)
     labels = components(first.unionByName(second))
     named = (rows.filter(F.col("n") > 0).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     # A class is as large as its copies are many: it is summed up before the shuffle, and rows meet only its name.
