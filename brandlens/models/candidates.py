@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import functions as F
 
 from brandlens.contract import SEED
 from brandlens.models import ridge as ridge_solver
@@ -60,10 +61,16 @@ def founded_candidates(trees: int = 400, max_iter: int = 200, boosting: bool = T
     """Regression on log1p of the year, in ``label``."""
     def ridges(rows, params):
         if len(rows.first()["features"]) > ridge_solver.MOST_COLUMNS:
-            n = rows.count()
-            return [ridge(p, n).fit(rows) for p in params]
+            return iterated(rows, params)
         return ridge_solver.fit(rows, [p["alpha"] for p in params])
 
+    def iterated(rows, params):
+        # Spark's iterative solver divides the penalty by the label's deviation.
+        n, deviation = rows.agg(F.count(F.lit(1)), F.stddev_samp("label")).first()
+        return [ridge(p, n).setRegParam(p["alpha"] * (deviation or 1.0) / n).fit(rows) for p in params]
+
+    ridges.iterated = iterated
+
     def ridge(p, n):
         return LinearRegression(regParam=p["alpha"] / n, elasticNetParam=0.0, standardization=False, solver="l-bfgs",
                                 maxIter=max_iter, labelCol="label")

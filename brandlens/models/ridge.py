@@ -7,6 +7,7 @@ columns, whose number is that of the feature vector (vocabularies and categories
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 
 # Columns up to which the driver holds the matrix (2 GB); a wider fit goes on by iteration.
 MOST_COLUMNS = 16_000
+# Folds are worked on at the same time; the driver holds one of their matrices.
+_ONE_MATRIX = threading.Lock()
 
 
 def cross_products(rows: DataFrame, features: str = "features", label: str = "label") -> np.ndarray:
@@ -57,4 +60,5 @@ def as_model(rows: DataFrame, coefficients: np.ndarray, intercept: float, featur
 
 def fit(rows: DataFrame, alphas: Sequence[float]) -> list[LinearRegressionModel]:
     """A model for each penalty, from one pass over (features, label)."""
-    return [as_model(rows, w, b) for w, b in solve(cross_products(rows), alphas)]
+    with _ONE_MATRIX:
+        return [as_model(rows, w, b) for w, b in solve(cross_products(rows), alphas)]

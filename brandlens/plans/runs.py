@@ -172,8 +172,11 @@ def train_run(raw: DataFrame, folder: str, run_id: str, candidates: Mapping[str,
 
 
 def replace_run(rows: DataFrame, path: str) -> None:
-    """Write the rows of a run in place of its earlier ones; other runs stay."""
-    rows.write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """Write the rows of a run in place of its earlier ones; other runs stay.
+
+    Folders are named by a copy of run_id, since readers guess the types of folder names.
+    """
+    rows.withColumn("_run", F.col("run_id")).write.partitionBy("_run").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def smoke_test(raw: DataFrame, models: Mapping[str, PipelineModel], thresholds: Mapping[str, float],

