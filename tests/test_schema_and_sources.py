@@ -55,6 +55,29 @@ def test_required_columns(spark):
         schema.require_columns(spark.createDataFrame([("x",)], "name string"), ["name", "plans", "founded"])
 
 
+def test_only_files_with_quoted_newlines_are_read_whole(spark, tmp_path):
+    bodies = {"plain": "x,1\n" * 5000, "quoted 1": '"a, ""b""",2\n"",3\n""",""",4\n', "open": '"a\nb",5\n"c\n\n""\nd",6\n',
+              "stray": '5",\'7\n6" x,8\n', "long": '"' + 'y""' * 60_000 + '",9\n'}
+    folder = tmp_path / "in 1"
+    folder.mkdir()
+    for name, body in bodies.items():
+        (folder / f"{name}.csv").write_text("k,v\n" + body)
+    path = str(folder)
+    assert [f.rsplit("/", 1)[1] for f in csv_files.files_with_quoted_newlines(spark, path)] == ["open.csv", "stray.csv"]
+    default, whole = csv_files.read_brand_csv(spark, path), csv_files.read_brand_csv(spark, path, multi_line=True)
+    assert sorted(map(tuple, default.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert {("a\nb", "5"), ('c\n\n"\nd', "6"), ('a, "b"', "2")} <= {tuple(r) for r in default.collect()}
+    # A large file without quoted newlines is split.
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        only = str(folder / "plain.csv")
+        assert csv_files.read_brand_csv(spark, only).rdd.getNumPartitions() >= 4
+        assert csv_files.read_brand_csv(spark, only).count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_csv(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_bytes('﻿name,plans,description\r\n"A, ""b""",NA,"line\nbreak"\r\nNone,5,\r\n'.encode())
