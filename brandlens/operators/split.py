@@ -144,8 +144,23 @@ def _strata(df: DataFrame, strata: Sequence[str]) -> tuple[DataFrame, list[str],
     return df.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
 
 
+# Samples up to this size are the smallest hashes of each task, met in one.
+SMALL_SAMPLE = 10_000
+
+
 def seeded_sample(df: DataFrame, n: int, row_id: str = "row_id", seed: int | str = SEED) -> DataFrame:
-    """Exactly n rows (all, if there are fewer), the same ones every time."""
+    """Exactly n rows (all, if there are fewer), the same ones every time; ``row_id`` is unique.
+
+    A larger sample is cut like a split, from the histogram of hashes, so it never meets in one
+    task; both ways give the same rows. Only a small one comes in hash order.
+    """
     if n <= 0:
         raise ValueError("The sample size must be positive.")
-    return df.orderBy(row_hash(row_id, seed), row_id).limit(n)
+    if n <= SMALL_SAMPLE:
+        return df.orderBy(row_hash(row_id, seed), row_id).limit(n)
+    rows, keys, added = _strata(df, [])
+
+    def cuts(sizes: DataFrame) -> DataFrame:
+        return sizes.select(*keys, F.array(F.least(F.lit(n), F.col("n"))).alias("ends"))
+
+    return cut_rows(rows, keys, row_id, seed, "_part", cuts).filter("_part = 0").drop("_part", *added)

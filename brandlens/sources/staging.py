@@ -24,3 +24,16 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Write a table in sorted buckets of a key and read it back.
+
+    Tables of the same key and number of buckets are joined on the key without moving their rows.
+    Choose the number so that a bucket fits in a task. Without ``path`` the table lies in the
+    session's warehouse.
+    """
+    # One task writes one bucket, so a bucket is one file.
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
