@@ -19,7 +19,8 @@ All rows with one text have one result, so a text is named by two hashes of its
 
 Cases: a null text is empty; texts shorter than the length are never cut; a repeated row repeats all
 windows of its text, so they go in every copy; null ids and further columns do not matter; an
-empty table gives no rows. Texts may have up to 2**28 bytes each, longer ones raise an error.
+empty table gives no rows. A very long text is read in slices that overlap by one byte less than the
+length, so that each of its windows lies in exactly one of them.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ _PLACE_BITS = 28
 _LIVE_BITS = 26
 _BLOCK_CONTEXTS = 512
 _BUNDLE_BYTES = 256 << 10
+# Windows that a slice of a very long text begins; about a hundred bytes of memory for each.
+SLICE_WINDOWS = 4 << 20
 _WINDOWS = "array<struct<low:int,high:int>>"
 
 
@@ -50,8 +53,6 @@ class Buffer:
     def __init__(self, texts: list[bytes], length: int) -> None:
         self.length, self.gram, self.short = length, 2 * length // 25, 2 * length // 5
         self.bytes, self.begins = joined(texts)
-        if len(self.bytes) >= 1 << _PLACE_BITS:
-            raise ValueError("A text has over 2**28 bytes.")
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.begins))
         self.stretches = Stretches(self.bytes)
         s, m = self.stretches, max(len(self.bytes) - self.gram + 1, 0)
@@ -91,6 +92,21 @@ class Buffer:
         return anchor[opens], window[opens], window[np.concatenate([opens[1:], [len(window)]]) - 1]
 
 
+def _buffers(rows: pa.RecordBatch, length: int, slice_windows: int) -> Iterator[tuple[Buffer, np.ndarray, np.ndarray]]:
+    """The texts of some rows in buffers, with the row of each text in a buffer and its first byte's place.
+
+    A stretch in the overlap of two slices counts twice, which only keeps windows that might have
+    been passed over.
+    """
+    texts = rows.column("_bytes").to_pylist()
+    if max(map(len, texts), default=0) < slice_windows + length:
+        yield Buffer(texts, length), np.arange(len(texts)), np.zeros(len(texts), dtype=np.int64)
+        return
+    for row, text in enumerate(texts):
+        for base in range(0, max(len(text) - length + 1, 1), slice_windows):
+            yield Buffer([text[base:base + slice_windows + length - 1]], length), np.array([row]), np.array([base])
+
+
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Least value of each stretch of `width` values, by running minima from both ends of blocks."""
     n = len(values)
@@ -109,45 +125,45 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_key", F.xxhash64("_bytes")).withColumn("_key2", F.xxhash64(F.lit(1), "_bytes"))
 
 
-def _live_hashes(texts: DataFrame, length: int) -> np.ndarray:
+def _live_hashes(texts: DataFrame, length: int, slice_windows: int) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "_bytes"):
-                found = Buffer(rows.column("_bytes").to_pylist(), length).links()[1]
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+                for buffer, _, _ in _buffers(rows, length, slice_windows):
+                    yield pa.RecordBatch.from_arrays([pa.array(buffer.links()[1].view(np.int64))], names=["hash"])
 
     hashes = texts.select("_bytes").mapInArrow(emit, "hash long")
     return occurrence_bits(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), _LIVE_BITS)
 
 
-def _occurrences(texts: DataFrame, length: int) -> DataFrame:
+def _occurrences(texts: DataFrame, length: int, slice_windows: int) -> DataFrame:
     """Contexts where they occur: anchor, two hashes of the context, text, start, number of rows, bytes.
 
     A task sends the bytes of a context once.
     """
-    table = texts.sparkSession.sparkContext.broadcast(_live_hashes(texts, length))
+    table = texts.sparkSession.sparkContext.broadcast(_live_hashes(texts, length, slice_windows))
     names = ["anchor", "c1", "c2", "_key", "_key2", "start", "context"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
             for rows in slices(batch, "_bytes"):
-                buffer = Buffer(rows.column("_bytes").to_pylist(), length)
-                anchor, low, high = buffer.contexts(table.value)
-                first = buffer.stretches.hashes(low, high + length)
-                # The anchor's place in the context is part of its name.
-                second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + buffer.gram))
-                data, out = buffer.bytes.tobytes(), []
-                for name, begin, end in zip(second.tolist(), low.tolist(), high.tolist()):
-                    if len(sent) >= 200_000:
-                        sent.clear()
-                    out.append(None if name in sent else data[begin:end + length])
-                    sent.add(name)
-                text = buffer.owner[low]
-                keys = [rows.column(k).take(pa.array(text)) for k in ("_key", "_key2")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(buffer.grams[anchor].view(np.int64)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *keys,
-                     pa.array(low - buffer.begins[text]), pa.array(out, pa.binary())], names=names)
+                for buffer, row, base in _buffers(rows, length, slice_windows):
+                    anchor, low, high = buffer.contexts(table.value)
+                    first = buffer.stretches.hashes(low, high + length)
+                    # The anchor's place in the context is part of its name.
+                    second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + buffer.gram))
+                    data, out = buffer.bytes.tobytes(), []
+                    for name, begin, end in zip(second.tolist(), low.tolist(), high.tolist()):
+                        if len(sent) >= 200_000:
+                            sent.clear()
+                        out.append(None if name in sent else data[begin:end + length])
+                        sent.add(name)
+                    text = buffer.owner[low]
+                    keys = [rows.column(k).take(pa.array(row[text])) for k in ("_key", "_key2")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(buffer.grams[anchor].view(np.int64)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *keys,
+                         pa.array(low - buffer.begins[text] + base[text]), pa.array(out, pa.binary())], names=names)
 
     schema = "anchor long, c1 long, c2 long, _key long, _key2 long, start long, context binary"
     rows = texts.select("_bytes", "_key", "_key2").mapInArrow(emit, schema)
@@ -218,9 +234,9 @@ def _repeated_windows(occurrences: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("windows"))
 
 
-def removed_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def removed_spans(texts: DataFrame, length: int = LENGTH, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """(_key, _key2, starts): runs of windows that repeat in each text, as (low, high) starts."""
-    occurrences = _occurrences(texts, length)
+    occurrences = _occurrences(texts, length, slice_windows)
     # Written, so that the join is free to split a context that occurs very often.
     windows = staged(_repeated_windows(occurrences, length), "windows")
     found = occurrences.select("c1", "c2", "_key", "_key2", "start").join(windows, ["c1", "c2"])
@@ -229,14 +245,23 @@ def removed_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return found.groupBy("_key", "_key2").agg(F.flatten(F.collect_list(moved)).alias("starts"))
 
 
-def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def _merged(windows: list[dict[str, int]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each maximal stretch that runs of windows cover."""
+    low, high = (np.array([w[k] for w in windows], dtype=np.int64) for k in ("low", "high"))
+    order = np.argsort(low)
+    low, end = low[order], np.maximum.accumulate(high[order] + length)
+    opens = np.flatnonzero(np.concatenate([[True], low[1:] > end[:-1]]))
+    return low[opens], end[np.concatenate([opens[1:], [len(low)]]) - 1]
+
+
+def cut(docs: DataFrame, length: int = LENGTH, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (what remains, without parts
     of characters); columns of these names are replaced."""
     added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(n, T.StringType()) for n in ("kept_sha256", "kept_text")]
     docs = docs.drop(*[f.name for f in added])
     texts = _keyed(docs)
     schema = T.StructType([*docs.schema, *added])
-    joined_rows = texts.join(removed_spans(texts, length), ["_key", "_key2"], "left").select("_row", "starts")
+    joined_rows = texts.join(removed_spans(texts, length, slice_windows), ["_key", "_key2"], "left").select("_row", "starts")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,12 +270,9 @@ def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 text, windows = (text.as_py() or "").encode(), windows.as_py()
                 kept, n_spans = text, 0
                 if windows:
-                    edge = np.zeros(len(text) + 1, dtype=np.int64)
-                    np.add.at(edge, [w["low"] for w in windows], 1)
-                    np.add.at(edge, [w["high"] + length for w in windows], -1)
-                    gone = np.cumsum(edge)[:-1] > 0
-                    n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
+                    low, end = _merged(windows, length)
+                    n_spans = len(low)
+                    kept = b"".join(text[a:b] for a, b in zip([0, *end], [*low, len(text)]))
                 rows.append((len(text), len(text) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
             columns = zip(*rows) if rows else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]

@@ -68,6 +68,13 @@ def test_cut(llm, monkeypatch, block):
         (str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows])))
 
 
+def test_slices_of_long_texts(llm):
+    rows = corpus(4) + [(300, "".join(t for _, t in corpus(5)[:12])), (301, "".join(t for _, t in corpus(5)[6:20]))]
+    assert max(len(t) for _, t in rows) > 5000
+    assert found(repeats.cut(llm.createDataFrame(rows, "doc_id long, text string").repartition(3), slice_windows=700)) == sorted(
+        (str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows])))
+
+
 @pytest.mark.parametrize("size", [240, 120])
 def test_other_lengths(llm, size):
     rows = corpus(3)
