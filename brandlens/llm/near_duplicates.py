@@ -220,7 +220,7 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFr
 
     Entries with one leader (over all salts) are counted together, since near copies share many of
     them. A leader's nodes are dealt over blocks of a bounded number, and every two of its blocks
-    meet in one group, which holds a row for each of its nodes and one for each entry of a node. A
+    meet in one group, which holds a row for each of its nodes, with the node's entries. A
     pair leaves it once, unless it cannot reach the threshold even if all its other entries were
     shared. ``bits`` has the parities of nodes.
     """
@@ -230,21 +230,18 @@ def _open_pairs(shared: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFr
     rows = staged(known.join(several, "entry").select("leader", "entry", "node", "size", "label").distinct(), "open-rows")
     most = rows.groupBy("node").agg(F.count("*").alias("most"))
     own_bits = bits.join(most.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
-    members = staged(rows.select("leader", "node", "size", "label").distinct().join(most, "node").join(own_bits, "node"), "open-nodes")
+    # No more entries than the node's own prefix has.
+    members = staged(rows.groupBy("leader", "node", "size", "label").agg(F.collect_list("entry").alias("entries"))
+                     .join(most, "node").join(own_bits, "node"), "open-nodes")
     # Written, so that the join knows its size: only leaders of several blocks.
     parts = staged(members.groupBy("leader").agg(F.ceil(F.count("*") / _BLOCK_NODES).alias("parts")).filter("parts > 1"), "open-parts")
 
-    def dealt(df: DataFrame) -> DataFrame:
-        placed = df.join(parts, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), "parts"))
-        # Each block of a leader meets each other one, and itself, once.
-        return (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-                .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")))
-
-    whole = ["leader", "x", "y", "entry", "node", "own", "size", "label", "most", "bits"]
-    nodes = dealt(members).withColumn("entry", F.lit(None).cast("long")).select(whole)
-    entries = dealt(rows.select("leader", "entry", "node")).select(*whole[:5], *[F.lit(None).cast(t).alias(c) for c, t in nodes.dtypes[5:]])
-    groups = (nodes.unionByName(entries).repartition(partitions(shared.sparkSession), "leader", "x", "y")
-              .sortWithinPartitions("leader", "x", "y", F.col("entry").asc_nulls_first()))
+    placed = members.join(parts, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), "parts"))
+    # Each block of a leader meets each other one, and itself, once.
+    dealt = (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")))
+    groups = (dealt.select("leader", "x", "y", "node", "own", "size", "label", "most", "bits", "entries")
+              .repartition(partitions(shared.sparkSession), "leader", "x", "y").sortWithinPartitions("leader", "x", "y"))
     counted = groups.mapInArrow(_count_pairs, _PAIRS).groupBy("a", "b", "m", "n").agg(F.sum("common").alias("common"))
     return counted.filter(_may_link(F.col("m"), F.col("n"), F.col("common"))).select("a", "b")
 
@@ -270,14 +267,15 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs_of_group(rows: pa.Table, one_block: bool) -> pa.RecordBatch:
-    """Rows of nodes (entry null) and rows of their entries, in order of the entries."""
-    is_node = rows["entry"].is_null()
-    members, entries = rows.filter(is_node), rows.filter(pc.invert(is_node))
-    order = np.argsort(np.asarray(members["node"]))
-    nodes, own, size, label, most = (np.asarray(members[c])[order] for c in ("node", "own", "size", "label", "most"))
-    bits = np.frombuffer(b"".join(members["bits"].to_pylist()), dtype=np.uint8).reshape(-1, _CELLS // 8)[order]
+    """Pairs of the nodes of a group, each a row with its entries."""
+    order = np.argsort(np.asarray(rows["node"]))
+    nodes, own, size, label, most = (np.asarray(rows[c])[order] for c in ("node", "own", "size", "label", "most"))
+    bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), dtype=np.uint8).reshape(-1, _CELLS // 8)[order]
     size = size.astype(np.int64)
-    at = np.searchsorted(nodes, np.asarray(entries["node"]))
+    lists = rows["entries"].take(pa.array(order))
+    entry, at = np.asarray(pc.list_flatten(lists)), np.repeat(np.arange(len(nodes)), np.asarray(pc.list_value_length(lists)))
+    by_entry = np.argsort(entry, kind="stable")
+    entry, at = entry[by_entry], at[by_entry]
     here = np.bincount(at, minlength=len(nodes))
     total: dict[int, int] = {}
     keys: list[np.ndarray] = []
@@ -288,7 +286,7 @@ def _pairs_of_group(rows: pa.Table, one_block: bool) -> pa.RecordBatch:
         for code, k in zip(codes.tolist(), n.tolist()):
             total[code] = total.get(code, 0) + k
 
-    for members_ in np.split(at, np.flatnonzero(np.diff(np.asarray(entries["entry"]))) + 1):
+    for members_ in np.split(at, np.flatnonzero(np.diff(entry)) + 1):
         # Nodes in order, one of each label pair; two blocks meet across, a block meets itself.
         members_ = np.sort(members_)
         i, j = np.triu_indices(len(members_), 1)
