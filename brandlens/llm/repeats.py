@@ -13,7 +13,10 @@ with the smallest hash is the window's anchor, so equal windows have equal ancho
 3. Different contexts of one anchor are sorted: a suffix array by two-stage sorting over blocks of
    contexts, and common prefixes of its neighbours. Anchors with many contexts are dealt over
    several blocks; windows that are new in such a block meet the other blocks by their hash.
-4. Spans go back to the texts, which are cut in one pass.
+4. Neighbouring contexts inside a stretch of windows that may repeat form a chain, cut where a
+   context's hash says so; equal passages have equal chains, so a chain is sent and joined as one. Only
+   the outermost contexts of a stretch, which depend on what stands around it, are chains of their own.
+5. Spans go back to the texts, which are cut in one pass.
 
 All rows with one text have one result, so a text is named by two hashes of its bytes.
 
@@ -45,6 +48,9 @@ _BUNDLE_BYTES = 256 << 10
 # Windows that a slice of a very long text begins; about a hundred bytes of memory for each.
 SLICE_WINDOWS = 4 << 20
 _WINDOWS = "array<struct<low:int,high:int>>"
+# Contexts of a chain on average, where nothing else ends it.
+_CHAIN = 16
+_MEMBERS = "array<struct<anchor:long,c1:long,c2:long,at:int,context:binary>>"
 
 
 class Buffer:
@@ -136,13 +142,21 @@ def _live_hashes(texts: DataFrame, length: int, slice_windows: int) -> np.ndarra
     return occurrence_bits(hashes.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), _LIVE_BITS)
 
 
-def _occurrences(texts: DataFrame, length: int, slice_windows: int) -> DataFrame:
-    """Contexts where they occur: anchor, two hashes of the context, text, start, number of rows, bytes.
+def _chains(low: np.ndarray, high: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which contexts begin a chain: each first and last one of a stretch, the one after a first one,
+    and those whose hash says so."""
+    first = np.concatenate([[True], low[1:] != high[:-1] + 1])
+    last = np.concatenate([first[1:], [True]])
+    return first | last | np.concatenate([[True], first[:-1]]) | (second % np.uint64(_CHAIN) == 0)
+
 
-    A task sends the bytes of a context once.
+def _occurrences(texts: DataFrame, length: int, slice_windows: int) -> DataFrame:
+    """Chains where they occur: two hashes of the chain, text, start, number of rows, the contexts of
+    the chain with their bytes. A task sends the contexts of a chain once.
     """
     table = texts.sparkSession.sparkContext.broadcast(_live_hashes(texts, length, slice_windows))
-    names = ["anchor", "c1", "c2", "_key", "_key2", "start", "context"]
+    names = ["h1", "h2", "_key", "_key2", "start", "members"]
+    member = pa.struct([("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("at", pa.int32()), ("context", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -150,24 +164,32 @@ def _occurrences(texts: DataFrame, length: int, slice_windows: int) -> DataFrame
             for rows in slices(batch, "_bytes"):
                 for buffer, row, base in _buffers(rows, length, slice_windows):
                     anchor, low, high = buffer.contexts(table.value)
-                    first = buffer.stretches.hashes(low, high + length)
+                    if not len(low):
+                        continue
                     # The anchor's place in the context is part of its name.
+                    first = buffer.stretches.hashes(low, high + length)
                     second = mixed(first * np.uint64(3) + buffer.stretches.hashes(low, anchor + buffer.gram))
-                    data, out = buffer.bytes.tobytes(), []
-                    for name, begin, end in zip(second.tolist(), low.tolist(), high.tolist()):
-                        if len(sent) >= 200_000:
+                    opens = np.flatnonzero(_chains(low, high, second))
+                    ends = np.concatenate([opens[1:], [len(low)]])
+                    # So are the places of a chain's contexts: their names are summed, each after its place.
+                    h1 = buffer.stretches.hashes(low[opens], high[ends - 1] + length)
+                    h2 = np.add.reduceat(mixed(second + (low - np.repeat(low[opens], ends - opens)).astype(np.uint64)), opens)
+                    data, grams, members = buffer.bytes.tobytes(), buffer.grams[anchor].view(np.int64), []
+                    for name, a, b in zip(h2.tolist(), opens.tolist(), ends.tolist()):
+                        if len(sent) >= 50_000:
                             sent.clear()
-                        out.append(None if name in sent else data[begin:end + length])
+                        members.append(None if name in sent else [
+                            {"anchor": grams[k], "c1": first[k].view(np.int64), "c2": second[k].view(np.int64), "at": low[k] - low[a],
+                             "context": data[low[k]:high[k] + length]} for k in range(a, b)])
                         sent.add(name)
-                    text = buffer.owner[low]
+                    text = buffer.owner[low[opens]]
                     keys = [rows.column(k).take(pa.array(row[text])) for k in ("_key", "_key2")]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(buffer.grams[anchor].view(np.int64)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *keys,
-                         pa.array(low - buffer.begins[text] + base[text]), pa.array(out, pa.binary())], names=names)
+                        [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *keys, pa.array(low[opens] - buffer.begins[text] + base[text]),
+                         pa.array(members, pa.list_(member))], names=names)
 
-    schema = "anchor long, c1 long, c2 long, _key long, _key2 long, start long, context binary"
-    rows = texts.select("_bytes", "_key", "_key2").mapInArrow(emit, schema)
-    return staged(rows.groupBy(*names[:-1]).agg(F.count("*").alias("n"), F.max("context").alias("context")), "occurrences")
+    rows = texts.select("_bytes", "_key", "_key2").mapInArrow(emit, f"h1 long, h2 long, _key long, _key2 long, start long, members {_MEMBERS}")
+    return staged(rows.groupBy(*names[:-1]).agg(F.count("*").alias("n"), F.first("members", ignorenulls=True).alias("members")), "occurrences")
 
 
 def _runs(flags: np.ndarray) -> list[dict[str, int]]:
@@ -217,9 +239,9 @@ def _sorted_blocks(contexts: DataFrame, length: int) -> DataFrame:
         sort, f"c1 long, c2 long, windows {_WINDOWS}, others array<struct<hash:long,at:int,new:boolean>>")
 
 
-def _repeated_windows(occurrences: DataFrame, length: int) -> DataFrame:
+def _repeated_windows(contexts: DataFrame, length: int) -> DataFrame:
     """(c1, c2, windows): which windows of each distinct context repeat, as runs of starts."""
-    distinct = staged(occurrences.groupBy("anchor", "c1", "c2").agg(
+    distinct = staged(contexts.groupBy("anchor", "c1", "c2").agg(
         F.sum("n").alias("n"), F.max("context").alias("context")).withColumn("last", F.length("context") - length), "contexts")
     kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     several = (distinct.join(kinds, "anchor").withColumn("blocks", F.ceil(F.col("kinds") / _BLOCK_CONTEXTS)))
@@ -237,11 +259,16 @@ def _repeated_windows(occurrences: DataFrame, length: int) -> DataFrame:
 def removed_spans(texts: DataFrame, length: int = LENGTH, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """(_key, _key2, starts): runs of windows that repeat in each text, as (low, high) starts."""
     occurrences = _occurrences(texts, length, slice_windows)
-    # Written, so that the join is free to split a context that occurs very often.
-    windows = staged(_repeated_windows(occurrences, length), "windows")
-    found = occurrences.select("c1", "c2", "_key", "_key2", "start").join(windows, ["c1", "c2"])
+    chains = occurrences.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.first("members", ignorenulls=True).alias("members"))
+    members = staged(chains.select("h1", "h2", "n", F.explode("members").alias("m")).select("h1", "h2", "n", "m.*"), "members")
+    of_context = _repeated_windows(members, length)
+    in_chain = F.transform("windows", lambda w: F.struct((w["low"] + F.col("at")).alias("low"), (w["high"] + F.col("at")).alias("high")))
+    # Written, so that the join is free to split a chain that occurs very often.
+    windows = staged(members.select("h1", "h2", "c1", "c2", "at").join(of_context, ["c1", "c2"])
+                     .groupBy("h1", "h2").agg(F.flatten(F.collect_list(in_chain)).alias("windows")), "windows")
+    found = occurrences.select("h1", "h2", "_key", "_key2", "start").join(windows, ["h1", "h2"])
     moved = F.transform("windows", lambda w: F.struct((w["low"] + F.col("start")).alias("low"), (w["high"] + F.col("start")).alias("high")))
-    # The contexts of one text: less than its own length.
+    # The chains of one text: less than its own length.
     return found.groupBy("_key", "_key2").agg(F.flatten(F.collect_list(moved)).alias("starts"))
 
 
