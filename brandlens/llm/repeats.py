@@ -261,7 +261,8 @@ def removed_spans(texts: DataFrame, length: int = LENGTH, slice_windows: int = S
     occurrences = _occurrences(texts, length, slice_windows)
     chains = occurrences.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.first("members", ignorenulls=True).alias("members"))
     members = staged(chains.select("h1", "h2", "n", F.explode("members").alias("m")).select("h1", "h2", "n", "m.*"), "members")
-    of_context = _repeated_windows(members, length)
+    # Written, as below: a context may lie in very many chains.
+    of_context = staged(_repeated_windows(members, length), "context-windows")
     in_chain = F.transform("windows", lambda w: F.struct((w["low"] + F.col("at")).alias("low"), (w["high"] + F.col("at")).alias("high")))
     # Written, so that the join is free to split a chain that occurs very often.
     windows = staged(members.select("h1", "h2", "c1", "c2", "at").join(of_context, ["c1", "c2"])
