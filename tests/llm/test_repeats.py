@@ -95,3 +95,12 @@ def test_odd_rows(odd, none):
 def test_documents(llm):
     rows = [(r.doc_id, r.text) for r in llm.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert found(QUERIES["op7_repeats"](llm, "/root/testdata/sf0.001")) == sorted((str(d), *x) for (d, _), x in zip(rows, brute([t for _, t in rows])))
+
+
+def test_lists_come_from_arrays():
+    """Members and windows are built without an object for each window; the hashes of a batch stay small."""
+    runs = repeats._runs([np.array([True, True, False, True]), np.array([], dtype=bool), np.array([False])])
+    assert runs.to_pylist() == [[{"low": 0, "high": 1}, {"low": 3, "high": 3}], [], []]
+    lists = repeats._lists(np.array([2, 0, 1]), runs.type.value_type, [np.arange(3), np.arange(3)], np.array([False, True, False]))
+    assert lists.to_pylist() == [[{"low": 0, "high": 0}, {"low": 1, "high": 1}], None, [{"low": 2, "high": 2}]]
+    assert repeats._SLICE_BYTES <= 256 << 10
