@@ -102,7 +102,9 @@ def _sums(code: np.ndarray, digest: np.ndarray, *values: np.ndarray) -> tuple[np
     """Values added up over equal (code, digest)."""
     if not len(code):
         return code, digest, *values
-    order = np.lexsort((digest, code))
+    order = np.argsort(digest)
+    # Numbers of 16 bits are sorted by radix.
+    order = order[np.argsort((code.astype(np.uint16) if code.max() < 1 << 16 else code)[order], kind="stable")]
     code, digest = code[order], digest[order]
     opens = np.flatnonzero(np.concatenate([[True], (np.diff(code) != 0) | (digest[1:] != digest[:-1])]))
     return code[opens], digest[opens], *(np.add.reduceat(v[order], opens) for v in values)
@@ -147,7 +149,8 @@ def _digest_strings(documents: DataFrame, kept: DataFrame, bits: int) -> DataFra
     table = documents.sparkSession.sparkContext.broadcast(occurrence_bits(kept.select("digest"), _TABLE_BITS))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, sent = _Codes(), set()
+        langs = _Codes()
+        sent: dict[int, set[str]] = {}
         for batch in batches:
             for part in slices(batch):
                 own, lang = Terms(_encoded(part), bits), langs.of(part.column("lang"))
@@ -156,16 +159,19 @@ def _digest_strings(documents: DataFrame, kept: DataFrame, bits: int) -> DataFra
                 # One row for each language and string, not sent before by this task.
                 cell = np.asarray(strings.indices).astype(np.int64) * len(langs.known) + lang[own.text[chosen]]
                 cells, first = np.unique(cell, return_index=True)
-                words = strings.dictionary.to_pylist()
-                names = [(int(c % len(langs.known)), words[c // len(langs.known)]) for c in cells]
-                fresh = [k for k, name in enumerate(names) if name not in sent]
-                if len(sent) > _MOST_ROWS:
+                # By way of numpy: a string at a time costs more than all the rest here.
+                words, code = strings.dictionary.to_numpy(zero_copy_only=False)[cells // len(langs.known)], cells % len(langs.known)
+                if sum(map(len, sent.values())) > _MOST_ROWS:
                     sent.clear()
-                sent.update(names[k] for k in fresh)
-                if fresh:
+                fresh = np.zeros(len(cells), dtype=bool)
+                for k in np.unique(code).tolist():
+                    known, names = sent.setdefault(k, set()), words[code == k].tolist()
+                    fresh[code == k] = [name not in known for name in names]
+                    known.update(names)
+                if fresh.any():
                     yield pa.RecordBatch.from_arrays(
-                        [*langs.columns(np.array([names[k][0] for k in fresh])), pa.array(own.digest[chosen[first[fresh]]].view(np.int64)),
-                         pa.array([names[k][1] for k in fresh])], names=["lang", "digest", "term"])
+                        [*langs.columns(code[fresh]), pa.array(own.digest[chosen[first[fresh]]].view(np.int64)), pa.array(words[fresh], pa.string())],
+                        names=["lang", "digest", "term"])
 
     return (documents.select("lang", "text").mapInArrow(emit, "lang string, digest long, term string")
             .groupBy("lang", "digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))

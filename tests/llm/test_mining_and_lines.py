@@ -201,3 +201,16 @@ def test_score_bounds_hold():
     score = rows @ anchor
     assert (low <= score).all() and (score <= high).all()
     assert (high - low)[:10].max() < 0.01 * norms[0] ** 2 or len(refs) < 10  # tight where a reference is near
+
+
+def test_sums_over_many_groups():
+    """Numbers of groups beyond 16 bits add up like small ones."""
+    for most in (3, 1 << 16, 1 << 20):
+        rng = np.random.default_rng(most)
+        code, digest, n = rng.integers(0, most, 5000), rng.integers(0, 4, 5000).astype(np.uint64) << np.uint64(62), rng.integers(1, 9, 5000)
+        code[:2] = most
+        plain = {}
+        for key, value in zip(zip(code.tolist(), digest.tolist()), n.tolist()):
+            plain[key] = plain.get(key, 0) + value
+        c, d, total = divergence._sums(code, digest, n)
+        assert list(zip(zip(c.tolist(), d.tolist()), total.tolist())) == sorted(plain.items())
