@@ -1,16 +1,17 @@
 """Exact and fast encoding of whole texts with files of the tokenizers library.
 
-Both vocabularies split a text at white space before any merge. A text with single spaces and
-line feeds only is cut at them, the units of a batch are made distinct by Arrow, each unit that
-the worker has not met is encoded once, and the ids are gathered by numpy. All other texts go to
-the tokenizer whole.
+Both vocabularies split a text at white space and between letters and punctuation before any merge.
+A text with single spaces and line feeds only is cut at them, and the units of a batch are made
+distinct by Arrow. A unit of Latin letters and punctuation is parted once more, so that its word is
+met without what stands around it. Each word that the worker has not met is encoded once, and the
+ids are gathered by numpy. All other texts go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,11 @@ import pyarrow.compute as pc
 
 # Other white space, runs of white space, white space at an end, and the opening of special tokens.
 _WHOLE = r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]$|<\||[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
-# Bound of a worker's memory of units; when it is full, the memory starts anew.
-_MOST_UNITS = 1_000_000
+# A unit's line feed, word, and punctuation but the apostrophe (which opens contractions).
+_PARTS = r"^(?P<feed>\n?)(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
+# Bounds of a worker's memory of units and of their ids; when it is full, only units that came back stay.
+_MOST_UNITS = 400_000
+_MOST_IDS = 8 * _MOST_UNITS
 
 
 def _byte_characters() -> dict[int, str]:
@@ -43,39 +46,72 @@ class Encoder:
         self.whole = "|".join([_WHOLE, *added])
         self.lower = self.tokenizer.normalizer is not None
         self.byte_characters = _byte_characters()
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _merged(self, pretoken: str) -> bytes:
-        mapped = "".join([self.byte_characters[b] for b in pretoken.encode()]) if not pretoken.isascii() or " " in pretoken else pretoken
-        return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
-
-    def _unit(self, unit: str) -> bytes:
-        """Ids of a unit that begins with its white space; words of Latin letters need the merges only."""
-        if not _LATIN.match(unit):
-            return self._plain(unit)
-        return self._merged(unit.lower() if self.lower else unit)
-
-    def _distinct(self, units: list[str]) -> list[bytes]:
-        """Ids of units; a closing comma or full stop after a letter is a token of its own."""
-        known, out, ends = self.known, [], {e: self._plain(e) for e in ",."}
-        if len(known) > _MOST_UNITS:
-            known.clear()
-        for unit in units:
-            end = unit[-1:]
-            closed = end in ends and unit[-2:-1].isalpha()
-            core = unit[:-1] if closed else unit
-            if self.lower:
-                core = core.strip(" \n").lower() if core.isascii() else core
-            ids = known.get(core)
-            if ids is None:
-                ids = self._unit(core)
-                if len(core) <= 64:
-                    known[core] = ids
-            out.append(ids + ends[end] if closed else ids)
-        return out
+        self.merges = self.tokenizer.model.tokenize
+        self.known: dict[str, int] = {}
+        self.pool, self.width, self.back = np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
+
+    def _forget(self) -> None:
+        """Keep the units that came back in a later batch, if those take less than half of the memory."""
+        kept = np.fromiter((k for k in self.known.values() if self.back[k]), dtype=np.int64)
+        if 2 * len(kept) > _MOST_UNITS or 2 * self.width[kept].sum() > _MOST_IDS:
+            kept = kept[:0]
+        place = np.full(len(self.width), -1)
+        place[kept] = np.arange(len(kept))
+        self.known = {key: n for key, k in self.known.items() if (n := int(place[k])) >= 0}
+        self.pool, self.width = _gathered(self.pool, self.width, kept)
+        self.back = np.zeros(len(kept), dtype=bool)
+
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _merged(self, word: str) -> list[int]:
+        """Ids of Latin letters, perhaps after a space: they need the merges only."""
+        mapped = word.replace(" ", self.byte_characters[32]) if word.isascii() else "".join([self.byte_characters[b] for b in word.encode()])
+        return [t.id for t in self.merges(mapped)]
+
+    def _numbers(self, keys: list[str], merged: np.ndarray) -> np.ndarray:
+        """The places of some distinct units in the memory; those not met yet are encoded."""
+        found = np.fromiter(map(self.known.get, keys, itertools.repeat(-1)), dtype=np.int64, count=len(keys))
+        missing = np.flatnonzero(found < 0)
+        self.back[found[found >= 0]] = True
+        if len(missing):
+            fresh, ids, width = [keys[k] for k in missing.tolist()], [], []
+            for key, letters in zip(fresh, merged[missing].tolist()):
+                own = self._merged(key) if letters else self._plain(key)
+                ids += own
+                width.append(len(own))
+            found[missing] = np.arange(len(self.width), len(self.width) + len(missing))
+            self.pool = np.concatenate([self.pool, np.array(ids, dtype="<u4")])
+            self.width = np.concatenate([self.width, np.array(width, dtype=np.int64)])
+            self.back = np.concatenate([self.back, np.zeros(len(missing), dtype=bool)])
+            self.known.update((key, n) for key, n in zip(fresh, found[missing].tolist()) if len(key) <= 64)
+        return found
+
+    def _distinct(self, names: pa.Array, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct units, one after the other, and their numbers; spaced: those with a space before them."""
+        if len(self.known) > _MOST_UNITS or len(self.pool) > _MOST_IDS:
+            self._forget()
+        feed, words, tail = pc.extract_regex(names, _PARTS).flatten()
+        letters = np.asarray(words.is_valid())
+        fed = letters & np.asarray(pc.equal(feed, "\n").fill_null(False))
+        keys = pc.coalesce(pc.utf8_lower(words) if self.lower else words, names)
+        if not self.lower:
+            # No space stands before a line feed.
+            before = spaced & ~fed & ~np.asarray(pc.starts_with(names, "\n"))
+            keys = pc.binary_join_element_wise(pc.if_else(pa.array(before), " ", "").cast(keys.type), keys, pa.scalar("", keys.type))
+        coded = keys.dictionary_encode()
+        at = np.asarray(coded.indices).astype(np.int64)
+        merged = np.zeros(len(coded.dictionary), dtype=bool)
+        merged[at] = letters
+        tails = pc.fill_null(tail, "").dictionary_encode()
+        ends = tails.dictionary.to_pylist()
+        others = self._numbers(["\n", "", *ends], np.zeros(len(ends) + 2, dtype=bool))
+        parts = np.empty((len(names), 3), dtype=np.int64)
+        parts[:, 0] = np.where(fed, others[0], others[1])
+        parts[:, 1] = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), merged)[at]
+        parts[:, 2] = others[2:][np.asarray(tails.indices)]
+        ids, n = _gathered(self.pool, self.width, parts.reshape(-1))
+        return ids, n.reshape(-1, 3).sum(axis=1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row and the number of ids of each text; null is empty."""
@@ -86,17 +122,17 @@ class Encoder:
         units = pc.split_pattern(pc.replace_substring(cut, "\n", " \n"), " ")
         starts = np.asarray(units.offsets).astype(np.int64)
         coded = units.flatten().dictionary_encode()
-        code, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
-        first = np.zeros(len(code), dtype=bool)
-        first[starts[:-1]] = True
+        code, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        spaced = np.ones(len(names), dtype=bool)
         if not self.lower:
+            first = np.zeros(len(code), dtype=bool)
+            first[starts[:-1]] = True
             # A first word has no space before it, so it is another unit than the same word later.
             opening, code_of = np.unique(code[first], return_inverse=True)
             code[first] = len(names) + code_of
-            names = [n if n[:1] == "\n" else f" {n}" for n in names] + [names[i] for i in opening]
-        packed = self._distinct(names)
-        width = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
-        ids, n = _gathered(np.frombuffer(b"".join(packed), dtype="<u4"), width, code)
+            names = pa.concat_arrays([names, names.take(pa.array(opening))])
+            spaced = np.concatenate([spaced, np.zeros(len(opening), dtype=bool)])
+        ids, n = _gathered(*self._distinct(names, spaced), code)
         sums = np.concatenate([[0], np.cumsum(n)])
         lengths = np.zeros(len(texts), dtype=np.int64)
         lengths[~whole] = sums[starts[1:]] - sums[starts[:-1]]
@@ -106,7 +142,7 @@ class Encoder:
         rows = np.flatnonzero(whole)
         last = 0
         for row, text in zip(rows, texts.filter(pa.array(whole)).to_pylist()):
-            own = np.frombuffer(self._plain(text), dtype="<u4") if text else np.empty(0, dtype="<u4")
+            own = np.array(self._plain(text), dtype="<u4") if text else np.empty(0, dtype="<u4")
             parts += [ids[last:at[row]], own]
             last, lengths[row] = at[row], len(own)
         return np.concatenate([*parts, ids[last:]]), lengths

@@ -99,3 +99,18 @@ def test_token_file_of_odd_rows(llm, odd, none):
     empty = new_path(llm, "file")
     token_files.write_token_file(none, path, empty)
     assert token_files.read_token_file(llm, empty).count() == 0
+
+
+def test_words_are_met_without_their_punctuation():
+    """A worker remembers a word once, whatever stands after it, and keeps the words that come back."""
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        tokens = Encoder(public_tokenizers.path(name))
+        texts = ["ein wort. ein wort,*** ein wort\nwort&&& d'ein wort's Ñandú! 3. 日本."] * 2
+        ids, n = tokens.encode(pa.array(texts))
+        plain = tokens.tokenizer.encode(texts[0], add_special_tokens=False).ids
+        assert ids.tolist() == plain * 2 and n.tolist() == [len(plain)] * 2
+        assert not {key for key in tokens.known if key.strip(" \n") in ("wort.", "wort,***", "wort&&&", "Ñandú!", "ñandú!")}
+        tokens.encode(pa.array(["a wort"]))
+        tokens._forget()
+        assert 0 < len(tokens.known) == len(tokens.width) < 10
+        assert tokens.encode(pa.array(texts))[0].tolist() == plain * 2
