@@ -8,6 +8,7 @@ import pytest
 
 from brandlens.llm import repeats, suffix_sort
 from brandlens.llm.queries import QUERIES
+from brandlens.llm.shared import staged
 
 
 def brute(texts, size=400):
@@ -104,3 +105,25 @@ def test_lists_come_from_arrays():
     lists = repeats._lists(np.array([2, 0, 1]), runs.type.value_type, [np.arange(3), np.arange(3)], np.array([False, True, False]))
     assert lists.to_pylist() == [[{"low": 0, "high": 0}, {"low": 1, "high": 1}], None, [{"low": 2, "high": 2}]]
     assert repeats._SLICE_BYTES <= 256 << 10
+
+
+def test_rows_joined_by_chain(llm, monkeypatch):
+    """Only chains that occur twice are joined by name, and their rows grow as the texts that share a passage."""
+    passage = corpus_passage(1500)
+
+    def joined(n):
+        frames = {}
+        monkeypatch.setattr(repeats, "staged", lambda df, name: frames.setdefault(name, staged(df, name)))
+        rows = [(i, f"{corpus_passage(50, 2000 + i)} {passage} {corpus_passage(50, 3000 + i)}") for i in range(n)]
+        texts = repeats._keyed(llm.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        assert repeats.removed_spans(texts).count() == n
+        return frames["occurrences"].join(frames["chains"], ["h1", "h2"]).count(), frames["occurrences"].count()
+
+    (few, all_few), (many, all_many) = joined(20), joined(60)
+    assert 20 <= few <= all_few - 40 and 60 <= many <= all_many - 120
+    assert many <= 4 * few
+
+
+def corpus_passage(n, seed=1000):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(2, 9))) for _ in range(n))
