@@ -49,6 +49,32 @@ def test_the_ridge_candidate_fits_all_penalties_at_once(spark, points):
         assert np.allclose(near.coefficients.toArray(), model.coefficients.toArray(), rtol=1e-3, atol=1e-3)
 
 
+@pytest.mark.parametrize("rows_of_a_sum", [None, 100])
+def test_the_ridge_matrix_stays_off_the_driver(spark, monkeypatch, rows_of_a_sum):
+    if rows_of_a_sum:
+        monkeypatch.setattr(ridge, "ROWS_OF_A_SUM", rows_of_a_sum)
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 1100)) * (rng.random((400, 1100)) < 0.05)
+    x[:, :300] += rng.normal(size=300)
+    y = x @ rng.normal(size=1100) + 7
+    vectors = [Vectors.dense(r) if i % 3 == 0 else Vectors.sparse(1100, {k: float(v) for k, v in enumerate(r) if v}) for i, r in enumerate(x)]
+    rows = spark.createDataFrame(list(zip(vectors, y.tolist())), ["features", "label"]).repartition(6).persist()
+    # A quarter of the half matrix is the most that may come to the driver.
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "1200k")
+    try:
+        models = ridge.fit(rows, [0.3, 3.0])
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+        rows.unpersist()
+    centred = x - x.mean(axis=0)
+    for alpha, model in zip([0.3, 3.0], models):
+        w = np.linalg.solve(centred.T @ centred + alpha * np.eye(1100), centred.T @ (y - y.mean()))
+        assert np.allclose(model.coefficients.toArray(), w, rtol=1e-6, atol=1e-9)
+        assert model.intercept == pytest.approx(y.mean() - x.mean(axis=0) @ w, rel=1e-6)
+
+
 def test_numbers_follow_the_order(spark):
     df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("v"))
     assert numbering.numbered(df, ["v"]).orderBy("number").select("v").collect() == df.orderBy("v").collect()
