@@ -1,11 +1,14 @@
 """Distributed numbering, ridge by normal equations, wide quantiles and run tables."""
 
+import contextlib
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from brandlens.models import candidates as K, ridge
 from brandlens.operators import numbering, quantiles, split, thresholds
 from brandlens.plans import runs
@@ -49,6 +52,18 @@ def test_the_ridge_candidate_fits_all_penalties_at_once(spark, points):
         assert np.allclose(near.coefficients.toArray(), model.coefficients.toArray(), rtol=1e-3, atol=1e-3)
 
 
+@contextlib.contextmanager
+def most_results(spark, size):
+    """Bytes of results that a stage may send to the driver."""
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", size)
+    try:
+        yield
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+
+
 @pytest.mark.parametrize("rows_of_a_sum", [None, 100])
 def test_the_ridge_matrix_stays_off_the_driver(spark, monkeypatch, rows_of_a_sum):
     if rows_of_a_sum:
@@ -59,15 +74,9 @@ def test_the_ridge_matrix_stays_off_the_driver(spark, monkeypatch, rows_of_a_sum
     y = x @ rng.normal(size=1100) + 7
     vectors = [Vectors.dense(r) if i % 3 == 0 else Vectors.sparse(1100, {k: float(v) for k, v in enumerate(r) if v}) for i, r in enumerate(x)]
     rows = spark.createDataFrame(list(zip(vectors, y.tolist())), ["features", "label"]).repartition(6).persist()
-    # A quarter of the half matrix is the most that may come to the driver.
-    conf = spark.sparkContext._jsc.sc().conf()
-    before = conf.get("spark.driver.maxResultSize", "1g")
-    conf.set("spark.driver.maxResultSize", "1200k")
-    try:
+    with most_results(spark, "1200k"):  # a quarter of the half matrix
         models = ridge.fit(rows, [0.3, 3.0])
-    finally:
-        conf.set("spark.driver.maxResultSize", before)
-        rows.unpersist()
+    rows.unpersist()
     centred = x - x.mean(axis=0)
     for alpha, model in zip([0.3, 3.0], models):
         w = np.linalg.solve(centred.T @ centred + alpha * np.eye(1100), centred.T @ (y - y.mean()))
@@ -75,6 +84,33 @@ def test_the_ridge_matrix_stays_off_the_driver(spark, monkeypatch, rows_of_a_sum
         assert model.intercept == pytest.approx(y.mean() - x.mean(axis=0) @ w, rel=1e-6)
 
 
+@pytest.fixture(scope="module")
+def brand_tables(spark, tmp_path_factory):
+    """120 parts whose ridge has about 4100 columns: 67 MB in half a matrix."""
+    folder = str(tmp_path_factory.mktemp("brands"))
+    words = np.array([f"{a}{b}{c}" for a in "bcdfgklmnp" for b in "aeiou" for c in ("ron", "lis", "tak", "vem")])
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(words, 100)) for _ in range(60)]
+    tables = {
+        "part": ([(k, f"part {words[k % 90]} {words[k % 70]}", f"Brand#{k % 6}", k % 50 + 1) for k in range(1, 121)], "p_partkey long, p_name string, p_brand string, p_size int"),
+        "supplier": ([(k, k % 5) for k in range(10)], "s_suppkey long, s_nationkey int"),
+        "nation": ([(k, f"LAND{k}") for k in range(5)], "n_nationkey int, n_name string"),
+        "lineitem": ([(k % 100 + 1, float(k % 9 + 1)) for k in range(400)], "l_partkey long, l_quantity double"),
+        "documents": (list(enumerate([f"{t} {texts[i - 1]}" for i, t in enumerate(texts)])), "doc_id long, text string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name, right", [
+    ("b5_scoring_summary", lambda rows: [r.rows_scored for r in rows] == [120]),
+])
+def test_queries_with_a_ridge_send_the_driver_little(spark, brand_tables, name, right):
+    with most_results(spark, "4m"):
+        assert right(entry.queries()[name](spark, brand_tables).collect())
+
+
 def test_numbers_follow_the_order(spark):
     df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("v"))
     assert numbering.numbered(df, ["v"]).orderBy("number").select("v").collect() == df.orderBy("v").collect()
