@@ -106,6 +106,7 @@ def brand_tables(spark, tmp_path_factory):
 @pytest.mark.parametrize("name, right", [
     ("b5_scoring_summary", lambda rows: [r.rows_scored for r in rows] == [120]),
     ("b6_cascaded_years", lambda rows: sorted(rows) == [(k, 1, 1, 1) for k in range(1, 121)]),
+    ("m10_m13_ridge_selection", lambda rows: len(rows) == 17 and all(r.finite_rows == r.rows > 0 for r in rows if r.part == "fold")),
 ])
 def test_queries_with_a_ridge_send_the_driver_little(spark, brand_tables, name, right):
     with most_results(spark, "4m"):
